@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ANSWER, ELEMENT, QUESTION, SEQ, SUBJECT, VALUE
@@ -40,22 +40,14 @@ def assemble_records(stream: DataFrame, variables: Sequence[str], sentinel: str
         for v in variables])
 
 
-def section_values(stream: DataFrame, section_value: str, *, section_element: str = "Variable",
-                   question: str = QUESTION, start: str | None = None, end: str | None = None,
-                   joiner: str = ", ") -> DataFrame:
-    """GRP-3: in document order, for each ``section_element == section_value``
-    row take the next row's value when that row is a ``question``; join them.
-    With ``start``/``end`` only rows inside the half-open marker slice count."""
-    from .filters import marker_slice
-
-    s = stream
-    if start is not None and end is not None:
-        s = marker_slice(s, (F.col(ELEMENT) == section_element) & (F.col(VALUE) == start),
-                         (F.col(ELEMENT) == section_element) & (F.col(VALUE) == end))
-    s = ordered_scan(s, Scan(lead={"__ne": ELEMENT, "__nv": VALUE}))
-    hit = (F.col(ELEMENT) == section_element) & (F.col(VALUE) == section_value) & (F.col("__ne") == question)
-    s = s.filter(hit)
-    # per subject: only the matching rows are collected (bounded by the section size)
+def section_values(stream: DataFrame, section: Column, name: str, *,
+                   question: str = QUESTION, joiner: str = ", ") -> DataFrame:
+    """GRP-3: in document order, for each ``section`` row take the next row's
+    value when that row is a ``question``; join them with ``joiner``.
+    (Apply ``marker_slice`` first to restrict to a slice.) Only the matching
+    rows are collected per subject, sorted by position."""
+    s = ordered_scan(stream, Scan(lead={"__ne": ELEMENT, "__nv": VALUE}))
+    s = s.filter(section & (F.col("__ne") == question))
     return s.groupBy(SUBJECT).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct(F.col(SEQ).alias("s"), F.col("__nv").alias("v")))),
-        lambda x: x["v"]), joiner).alias(section_value))
+        lambda x: x["v"]), joiner).alias(name))

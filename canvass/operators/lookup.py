@@ -36,7 +36,7 @@ def prepare_pairs(stream: DataFrame, elements: Sequence[str] = (QUESTION, ANSWER
 
 
 def lookup(stream: DataFrame, variables: Sequence[str], *, mode: str = "strict",
-           elements: Sequence[str] = (QUESTION, ANSWER), question: str = QUESTION,
+           elements: Sequence[str] = (QUESTION, ANSWER), question: str | None = QUESTION,
            answer: str = ANSWER, strip_prefix: bool = False,
            names: Sequence[str] | None = None) -> DataFrame:
     """LK-1 (mode='loose') / LK-2 (mode='strict').
@@ -44,13 +44,17 @@ def lookup(stream: DataFrame, variables: Sequence[str], *, mode: str = "strict",
     For each variable: the FIRST ``question`` row whose value is the variable;
     the result is the next row's value (loose) or the next row's value only if
     that row is an ``answer`` (strict). No next row / not found -> NULL.
+    ``question=None`` keys the lookup on the element name instead (the
+    variable IS the element, as for header tags or conversation roles).
     Output: ``subject_id`` + one column per variable (``names`` renames them).
     """
     s = with_answer(prepare_pairs(stream, elements, strip_prefix), answer)
-    s = s.filter((F.col(ELEMENT) == question) & F.col(VALUE).isin(list(variables)))
+    key = F.col(VALUE) if question is not None else F.col(ELEMENT)
+    is_q = (F.col(ELEMENT) == question) if question is not None else F.lit(True)
+    s = s.filter(is_q & key.isin(list(variables)))
     names = list(names or variables)
     return s.groupBy(SUBJECT).agg(*[
-        F.min_by(F.col(mode), F.when(F.col(VALUE) == v, F.col(SEQ))).alias(n)
+        F.min_by(F.col(mode), F.when(key == v, F.col(SEQ))).alias(n)
         for v, n in zip(variables, names)])
 
 
@@ -97,16 +101,18 @@ def sku_metric_lookup(stream: DataFrame, skus: Sequence[str], metrics: Sequence[
 
 
 def next_answer_after_labels(stream: DataFrame, labels: Sequence[str], *,
-                             label_element: str = "Text", answer_element: str = GRID_ANSWER,
+                             label_element: str | None = "Text", answer_element: str = GRID_ANSWER,
                              missing: str | None = "") -> DataFrame:
     """LK-4: for each label, the first ``answer_element`` row anywhere after the
     label row (answers may be skipped or shared). A repeated label: the last
     occurrence wins. Missing -> ``missing``."""
     s = ordered_scan(stream, Scan(next_match={
         "__ans": (F.col(ELEMENT) == answer_element, F.col(VALUE))}))
-    s = s.filter((F.col(ELEMENT) == label_element) & F.col(VALUE).isin(list(labels)))
+    key = F.col(VALUE) if label_element is not None else F.col(ELEMENT)
+    is_label = (F.col(ELEMENT) == label_element) if label_element is not None else F.lit(True)
+    s = s.filter(is_label & key.isin(list(labels)))
     agg = s.groupBy(SUBJECT).agg(*[
-        F.max_by(F.col("__ans"), F.when(F.col(VALUE) == lb, F.col(SEQ))).alias(lb)
+        F.max_by(F.col("__ans"), F.when(key == lb, F.col(SEQ))).alias(lb)
         for lb in labels])
     if missing is None:
         return agg

@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ["records"]
+_MODULES = ["records", "streams"]
 
 
 def all_queries():

@@ -18,6 +18,12 @@ TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 MICROS_PER_DAY = 86_400_000_000
 
 
+def _micros(c: str):
+    """Microseconds since epoch of a (possibly zone-less) timestamp, read as UTC
+    (the engine's session time zone)."""
+    return F.unix_micros(F.col(c).cast("timestamp"))
+
+
 def _stream(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("subject_id").cast("long"), F.col("seq").cast("long"),
@@ -42,7 +48,7 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     largest unit one window task handles.
     """
     e = read_table(spark, sf_dir, "events", "user_id", "ts", "event_type", "value")
-    seq = F.unix_micros("ts")
+    seq = _micros("ts")
     return _stream(e.select(
         F.col("user_id").alias("subject_id"), seq.alias("seq"),
         F.floor(seq / F.lit(MICROS_PER_DAY)).alias("block"),
@@ -123,3 +129,28 @@ def page_tag_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("page_id").alias("subject_id"), F.col("pos").alias("seq"),
         F.floor(F.col("pos") / span).alias("block"), F.lower(F.col("col.t")).alias("element"),
         F.lit("text").alias("attribute"), F.col("col.x").alias("value")))
+
+
+# B2 as an interview: every event answers two questions named "<event_type>_<metric>".
+EVENT_METRICS = ["value", "k"]
+EVENT_TYPES = ["view", "signup", "error", "click", "purchase"]
+
+
+def event_interview_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event -> (FullVariable <type>_value, QuestionAnswer value,
+    FullVariable <type>_k, QuestionAnswer k-from-props); ordered by ts."""
+    e = read_table(spark, sf_dir, "events", "user_id", "ts", "event_type", "value", "props")
+    base = _micros("ts") * F.lit(4)
+    k = F.get_json_object("props", "$.k")
+    rows = F.array(
+        F.struct(base.alias("seq"), F.lit(QUESTION).alias("element"),
+                 F.concat("event_type", F.lit("_value")).alias("value")),
+        F.struct((base + 1).alias("seq"), F.lit(ANSWER).alias("element"),
+                 F.col("value").cast("string").alias("value")),
+        F.struct((base + 2).alias("seq"), F.lit(QUESTION).alias("element"),
+                 F.concat("event_type", F.lit("_k")).alias("value")),
+        F.struct((base + 3).alias("seq"), F.lit(ANSWER).alias("element"), k.alias("value")))
+    out = e.select(F.col("user_id").alias("subject_id"), F.inline(rows))
+    return _stream(out.select(
+        "subject_id", "seq", F.floor(F.col("seq") / F.lit(4 * MICROS_PER_DAY)).alias("block"),
+        "element", F.lit("text").alias("attribute"), "value"))
