@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ["records", "streams"]
+_MODULES = ["records", "streams", "reshaping"]
 
 
 def all_queries():
