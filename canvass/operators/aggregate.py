@@ -31,7 +31,7 @@ def distinct_list(df: DataFrame, key: str, value: str, order: str, *,
         base = base.filter(F.col("__v").isNotNull())
     firsts = base.groupBy(key, "__v").agg(F.min("__o").alias("__o"))
     lists = firsts.groupBy(key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__o"), F.col("__v").cast("string")))),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__o"), F.col("__v").cast("string").alias("__v")))),
                                  lambda x: x["__v"]), joiner).alias(list_name))
     # keys whose values are all NULL still appear, with an empty list
     keys = df.filter(_q(key).isNotNull()).groupBy(key).agg(F.count_distinct(_q(key)).alias(count_name))

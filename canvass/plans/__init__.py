@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ["records", "streams", "reshaping"]
+_MODULES = ["records", "streams", "reshaping", "aggregates"]
 
 
 def all_queries():
