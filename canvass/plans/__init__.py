@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ["records", "streams", "reshaping", "aggregates"]
+_MODULES = ["records", "streams", "reshaping", "aggregates", "cleaning"]
 
 
 def all_queries():
