@@ -120,9 +120,13 @@ def split_trim_join(c, sep: str = ",", joiner: str = ", ") -> Column:
 
 
 def option_list(c, sep: str = ",") -> Column:
-    """Options of a multi-select cell: split on the literal ``sep``, trim, drop blank."""
-    parts = F.split(_c(c), _regex_literal(sep))
-    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
+    """Options of a multi-select cell: split on the literal ``sep``, strip
+    whitespace, drop blank options. Built from codegen'd built-ins only (no
+    lambda over the array): whitespace around separators is consumed by the
+    split pattern, the ends by one regex, blanks by ``array_remove``."""
+    body = F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    parts = F.split(body, r"\s*" + _regex_literal(sep) + r"\s*")
+    return F.array_remove(parts, "")
 
 
 def _regex_literal(sep: str) -> str:

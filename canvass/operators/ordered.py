@@ -7,11 +7,11 @@ runs as a *two-level* scan:
 
 1. the window runs over ``(subject, block)``; a block is a bounded seq range,
    so no task sees more than ``span`` rows of one subject;
-2. a per-block summary (first row, totals, first match) is derived from the
-   same partitioned data (no second shuffle of the rows), scanned over blocks
-   by subject -- ``rows / span`` rows only -- and joined back on
-   ``(subject, block)``, a join whose big side is already partitioned on
-   exactly those keys.
+2. a per-block summary (first row, block totals, first match) is read off
+   the first row of each block of the same window output (the shuffle is
+   reused, nothing is re-aggregated), scanned over blocks by subject --
+   ``rows / span`` rows only -- and joined back on ``(subject, block)``, a
+   join whose big side is already partitioned on exactly those keys.
 
 All outputs requested in one call share one window spec, one summary and one
 join, so an operator costs one shuffle of the stream.
@@ -59,30 +59,40 @@ class Scan:
 def ordered_scan(df: DataFrame, scan: Scan, *, subject: str = SUBJECT,
                  seq: str = SEQ, block: str = BLOCK) -> DataFrame:
     df = with_block(df, seq=seq, block=block)
+    # rows without a subject belong to no interview; stating the filter here
+    # (instead of letting the join infer it on one side only) keeps both join
+    # branches identical below the window, so they share ONE shuffle
+    df = df.filter(F.col(subject).isNotNull() & F.col(block).isNotNull())
     base_cols = df.columns
     w = Window.partitionBy(subject, block).orderBy(seq)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_after = w.rowsBetween(1, Window.unboundedFollowing)
+    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     wb = Window.partitionBy(subject).orderBy(block)
 
-    inner_cols: list[Column] = []
-    summary_aggs: list[Column] = []
+    inner_cols: list[Column] = [F.row_number().over(w).alias("__rn")]
+    head_cols: list[Column] = []      # block-level values, read off the block's first row
     carry_cols: list[Column] = []
     finals: list[Column] = []
 
     if scan.lead:
-        packed = F.struct(*[F.col(c).alias(c) for c in scan.lead.values()])
-        inner_cols.append(F.lead(packed).over(w).alias("__lead"))
-        summary_aggs.append(F.min_by(packed, F.col(seq)).alias("__head"))
-        carry_cols.append(F.lead("__head").over(wb).alias("__head_next"))
-        nx = F.coalesce(F.col("__lead"), F.col("__head_next"))
-        finals += [nx[c].alias(out) for out, c in scan.lead.items()]
+        # plain per-column leads (no struct per row); lead(seq) tells "there is
+        # a next row in this block" apart from "the next value is NULL"
+        cols = list(dict.fromkeys(scan.lead.values()))
+        inner_cols.append(F.lead(seq).over(w).alias("__lead_seq"))
+        inner_cols += [F.lead(c).over(w).alias(f"__lead_{k}") for k, c in enumerate(cols)]
+        head_cols += [F.col(c).alias(f"__head_{k}") for k, c in enumerate(cols)]
+        carry_cols += [F.lead(f"__head_{k}").over(wb).alias(f"__next_{k}") for k in range(len(cols))]
+        in_block = F.col("__lead_seq").isNotNull()
+        finals += [F.when(in_block, F.col(f"__lead_{cols.index(c)}"))
+                    .otherwise(F.col(f"__next_{cols.index(c)}")).alias(out)
+                   for out, c in scan.lead.items()]
 
     for i, (out, expr) in enumerate(scan.running.items()):
         f, r, t, o = f"__f{i}", f"__r{i}", f"__t{i}", f"__o{i}"
-        inner_cols.append(expr.alias(f))
-        # the running sum is computed after __f exists (second select below)
-        summary_aggs.append(F.sum(f).alias(t))
+        inner_cols.append(F.sum(expr).over(w_run).alias(r))
+        inner_cols.append(F.sum(expr).over(w_all).alias(f))
+        head_cols.append(F.col(f).alias(t))
         carry_cols.append(F.coalesce(
             F.sum(t).over(wb.rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)).alias(o))
@@ -92,18 +102,17 @@ def ordered_scan(df: DataFrame, scan: Scan, *, subject: str = SUBJECT,
         m, bm, cm = f"__m{i}", f"__bm{i}", f"__cm{i}"
         hit = F.when(pred, F.struct(val.alias("v")))
         inner_cols.append(F.first(hit, ignorenulls=True).over(w_after).alias(m))
-        summary_aggs.append(F.min_by(F.struct(val.alias("v")), F.when(pred, F.col(seq))).alias(bm))
+        inner_cols.append(F.first(hit, ignorenulls=True).over(w_all).alias(bm))
+        head_cols.append(F.col(bm))
         carry_cols.append(F.first(bm, ignorenulls=True)
                           .over(wb.rowsBetween(1, Window.unboundedFollowing)).alias(cm))
         finals.append(F.coalesce(F.col(m), F.col(cm))["v"].alias(out))
 
+    # one window pass over (subject, block); the block summary is the first
+    # row of each block, so both join sides reuse the same shuffle
     inner = df.select("*", *inner_cols)
-    if scan.running:
-        inner = inner.select("*", *[F.sum(f"__f{i}").over(w_run).alias(f"__r{i}")
-                                    for i in range(len(scan.running))])
-    # per-block summary: the data is already clustered by (subject, block)
-    summary = inner.groupBy(subject, block).agg(*summary_aggs)
-    carry = summary.select(subject, block, *carry_cols)
+    heads = inner.filter(F.col("__rn") == 1).select(subject, block, *head_cols)
+    carry = heads.select(subject, block, *carry_cols)
     joined = inner.join(carry, [subject, block], "left")
     return joined.select(*[F.col(c) for c in base_cols], *finals)
 

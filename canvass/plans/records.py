@@ -10,7 +10,8 @@ from ..operators.assemble import assemble_records
 from ..operators.lookup import header_by_name
 from ..operators.reshape import header_broadcast
 from ..schema import SUBJECT
-from ..sources.bindings import LINE_SENTINEL, LINE_VARIABLES, ORDER_HEADER, lineitem_stream
+from ..sources.bindings import (LINE_SENTINEL, LINE_VARIABLES, ORDER_HEADER, lineitem_stream,
+                                order_header_stream)
 from .registry import query
 
 NUMERIC_LINE_VARS = ["l_partkey", "l_quantity", "l_extendedprice", "l_discount"]
@@ -34,7 +35,7 @@ def typed_line_records(spark, sf_dir):
 def order_items(spark, sf_dir):
     """JN-1: the order header (LK-6, SC-1) beside every assembled item."""
     stream = lineitem_stream(spark, sf_dir)
-    header = header_by_name(stream, ORDER_HEADER)
+    header = header_by_name(order_header_stream(spark, sf_dir), ORDER_HEADER)
     header = header.select(SUBJECT, "SubjectNum", parse_survey_ts("Upload").alias("Upload"),
                            parse_survey_ts("Date").alias("Date"))
     items = assemble_records(stream, LINE_VARIABLES, LINE_SENTINEL, strip_prefix=True)

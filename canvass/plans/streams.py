@@ -13,7 +13,8 @@ from ..operators.ordered import Scan, ordered_scan, with_ordinal
 from ..operators.reshape import fill_from_first, positional_zip, split_metric_name
 from ..schema import ELEMENT, QUESTION, SEQ, SUBJECT, VALUE
 from ..sources.bindings import (EVENT_METRICS, EVENT_TYPES, conversation_stream,
-                                event_interview_stream, event_stream, lineitem_stream)
+                                event_interview_stream, event_stream, lineitem_stream,
+                                order_header_stream)
 from .registry import query
 
 # ---------------------------------------------------------------- B1 lookups
@@ -262,7 +263,7 @@ def q_lk1_b3(spark, sf_dir):
     """LK-1 over the interview stream of every order (loose lookup of the
     first line's quantity): the answer exists iff the order has lines."""
     s = lineitem_stream(spark, sf_dir)
-    header = header_by_name(s, ["SubjectNum"])
+    header = header_by_name(order_header_stream(spark, sf_dir), ["SubjectNum"])
     lk = lookup(s, ["l_quantity"], mode="loose", strip_prefix=True)
     out = header.join(lk, SUBJECT, "left")
     return out.select(SUBJECT, F.col("l_quantity").isNotNull().alias("has_lines"))
