@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ["records", "streams", "reshaping", "aggregates", "cleaning", "interviews"]
+_MODULES = ["records", "streams", "reshaping", "aggregates", "cleaning", "interviews", "incremental"]
 
 
 def all_queries():
