@@ -155,3 +155,9 @@ def to_int(c) -> Column:
 def contains_comma(c) -> Column:
     """FIL-8: contains ',', NULL gives false."""
     return F.coalesce(_c(c).contains(","), F.lit(False))
+
+
+def duration_seconds(start, end) -> Column:
+    """SC-11 extra: VisitEnd - VisitStart in seconds (the text duration is
+    kept as it is)."""
+    return F.unix_timestamp(_c(end).cast("timestamp")) - F.unix_timestamp(_c(start).cast("timestamp"))

@@ -76,3 +76,20 @@ def consolidate(long: DataFrame, summaries: dict[str, Sequence[str]]) -> dict[st
     from .filters import select_present
 
     return {name: select_present(long, cols).dropDuplicates() for name, cols in summaries.items()}
+
+
+def column_lists(df, key: str, columns, order: str, *, joiner: str = ", ",
+                 category: str = "category", list_name: str = "Product_List",
+                 count_name: str = "Distinct_SubjectNum_Count") -> DataFrame:
+    """AGG-1 for many columns at once (the per-column tables of one wide
+    dataset): unpivot the columns (EX-5) and build every list in ONE
+    aggregation keyed by ``(category, key)`` -- one scan instead of one per
+    column. NULL cells are skipped; the ``category`` column names the table."""
+    long = df.select(_q(key).alias(key), _q(order).alias("__o"), *[_q(c).cast("string").alias(c) for c in columns])
+    long = long.unpivot([key, "__o"], list(columns), category, "__v").filter(
+        F.col("__v").isNotNull() & _q(key).isNotNull())
+    firsts = long.groupBy(category, key, "__v").agg(F.min("__o").alias("__o"))
+    return firsts.groupBy(category, key).agg(
+        F.lit(1).cast("long").alias(count_name),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__o"), F.col("__v")))),
+                                 lambda x: x["__v"]), joiner).alias(list_name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.aggregate import (consolidate, distinct_list, load_counts,
+from ..operators.aggregate import (column_lists, consolidate, distinct_list, load_counts,
                                    respondents_per_value, union_all)
 from ..schema import ELEMENT, SEQ, SUBJECT
 from ..sources.bindings import event_stream
@@ -164,3 +164,21 @@ def q_set2a(spark, sf_dir):
 def q_set2b(spark, sf_dir):
     """SET-2: summary 2 from the same single scan."""
     return _consolidated(spark, sf_dir)["price_summary"]
+
+
+@query("agg1_per_column_lists", """
+WITH v AS (SELECT user_id, ts, event_type, CAST(CAST(floor(value / 100) AS BIGINT) AS VARCHAR) AS value_band
+           FROM events),
+u AS (UNPIVOT v ON event_type, value_band INTO NAME category VALUE val),
+f AS (SELECT category, user_id, val, min(ts) AS t FROM u GROUP BY ALL)
+SELECT category, user_id, CAST(1 AS BIGINT) AS Distinct_SubjectNum_Count,
+       string_agg(val, ', ' ORDER BY t) AS Product_List
+FROM f GROUP BY category, user_id
+""")
+def q_agg1_columns(spark, sf_dir):
+    """AGG-1 over several answer columns in one pass (the 13-table follow-on
+    of the wide awareness dataset)."""
+    e = read_table(spark, sf_dir, "events", "user_id", "ts", "event_type", "value")
+    e = e.select("user_id", "ts", "event_type",
+                 F.floor(F.col("value") / 100).cast("long").cast("string").alias("value_band"))
+    return column_lists(e, "user_id", ["event_type", "value_band"], "ts")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalars import (GPS_COLUMNS, gps_columns, loop_index, normalise_name,
+from ..functions.scalars import (GPS_COLUMNS, duration_seconds, gps_columns, loop_index, normalise_name,
                                  parse_optional_ts, parse_survey_ts, split_trim_join,
                                  strip_loop_prefix, strip_parenthetical, to_decimal, to_int,
                                  tolerant_ts, ts_parse_failed)
@@ -248,3 +248,21 @@ def q_src7(spark, sf_dir):
     e = read_table(spark, sf_dir, "events", "ts", "event_type")
     r = range_scan(e, "ts", "2024-01-05 00:00:00", "2024-01-25 23:59:59.999999")
     return r.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sc11_visit_duration", """
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS VisitStart,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS VisitEnd,
+       CAST(epoch(date_trunc('second', max(ts))) - epoch(date_trunc('second', min(ts))) AS BIGINT) AS visit_seconds
+FROM events GROUP BY user_id
+""")
+def q_sc11(spark, sf_dir):
+    """SC-11: visit duration from the first and last upload of a subject
+    (parsed back from the survey text format, so whole seconds)."""
+    e = read_table(spark, sf_dir, "events", "user_id", "ts")
+    b = e.groupBy("user_id").agg(F.min("ts").alias("s"), F.max("ts").alias("e"))
+    s_txt = parse_survey_ts(F.date_format("s", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    e_txt = parse_survey_ts(F.date_format("e", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return b.select("user_id", F.date_format(s_txt, OUT_TS).alias("VisitStart"),
+                    F.date_format(e_txt, OUT_TS).alias("VisitEnd"),
+                    duration_seconds(s_txt, e_txt).alias("visit_seconds"))
