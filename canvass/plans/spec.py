@@ -118,6 +118,14 @@ def _header(spec: SurveySpec, answers: DataFrame) -> DataFrame:
     return h.select(*cols)
 
 
+def _attach_single(out: DataFrame, one_row: DataFrame, has_records: bool) -> DataFrame:
+    """Attach a one-row-per-subject result. Beside records (a positional zip in
+    the survey tables) such cells sit on the FIRST record only."""
+    if has_records:
+        return out.join(one_row.withColumn("rec", F.lit(1).cast("long")), [SUBJECT, "rec"], "left")
+    return out.join(one_row, SUBJECT, "left")
+
+
 def _sliced(answers: DataFrame, b: Block) -> DataFrame:
     if b.slice_between is None:
         return answers
@@ -149,24 +157,20 @@ def run_spec(spec: SurveySpec, answers: DataFrame, period: str | None = None) ->
             continue
         lk = lookup(_sliced(answers, b), b.variables, mode=b.mode, elements=b.elements,
                     question=b.question, answer=b.answer, strip_prefix=b.strip_prefix)
-        if has_records:
-            # zipped beside the records: lookup cells sit on the first record only
-            lk = lk.withColumn("rec", F.lit(1).cast("long"))
-            out = out.join(lk, [SUBJECT, "rec"], "left")
-        else:
-            out = out.join(lk, SUBJECT, "left")
+        out = _attach_single(out, lk, has_records)
     if spec.vector:
         v = spec.vector
         is_q = F.col(ELEMENT) == QUESTION
         sl = marker_slice_inclusive(answers, is_q & (F.col(VALUE) == v.start), is_q & (F.col(VALUE) == v.end))
         vec = vector_or_labels(sl, v.labels)
-        out = out.join(vec, SUBJECT, "left").fillna("", subset=list(v.labels))
+        out = _attach_single(out, vec, has_records).fillna("", subset=list(v.labels))
     if spec.section:
         sc = spec.section
         is_var = F.col(ELEMENT) == SECTION
         sl = marker_slice(answers, is_var & (F.col(VALUE) == sc.start), is_var & (F.col(VALUE) == sc.end))
         sv = section_values(sl, is_var & (F.col(VALUE) == sc.name), sc.name)
-        out = out.join(sv, SUBJECT, "left").fillna("", subset=[sc.name])
+        sv = _attach_single(out.select(SUBJECT).distinct(), sv, False).fillna("", subset=[sc.name])
+        out = _attach_single(out, sv, has_records)
     # declared columns, missing -> NULL
     want = spec.output_columns()
     present = set(out.columns)

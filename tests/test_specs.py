@@ -70,3 +70,65 @@ def test_d39_vector_fallback_reversed_markers(spark):
 
     r = run_spec(BY_ID["D39"], _answers(spark, DOC_D39)).collect()[0].asDict()
     assert r[SUPPLIERS[2]] == "weekly" and r[SUPPLIERS[0]] == ""
+
+
+def _doc(header, body):
+    h = "".join(f"<{k}>{v}</{k}>" for k, v in header)
+    return f"<Interview><Header>{h}</Header><Answers>{body}</Answers></Interview>"
+
+
+def _fv(name, answer=None):
+    return f"<FullVariable>{name}</FullVariable>" + (f"<QuestionAnswer>{answer}</QuestionAnswer>" if answer is not None else "")
+
+
+def _grid(label, answer=None):
+    return f"<Text>{label}</Text>" + (f"<TopicAnswer>{answer}</TopicAnswer>" if answer is not None else "")
+
+
+HDR = [("SubjectNum", "9"), ("Upload", "2026-01-02T03:04:05Z"), ("Date", "2026-01-02T00:00:00Z")]
+
+
+def test_d02_sku_metrics_long_with_none_parity(spark):
+    from canvass.plans.spec import run_spec
+
+    body = _fv("BUDWEISER 355ML BOTTLE_Price", "5.0") + _fv("BUDWEISER 355ML BOTTLE_Display_Location", "Shelf, Fridge")
+    rows = run_spec(BY_ID["D02"], _answers(spark, _doc(HDR, body))).collect()
+    assert len(rows) == 34 + 2                                   # 35 SKUs, Budweiser exploded in two
+    bud = [r for r in rows if r.Variable == "BUDWEISER 355ML BOTTLE"]
+    assert sorted(r.Display_Location for r in bud) == ["Fridge", "Shelf"] and bud[0].Price == "5.0"
+    assert {r.Display_Location for r in rows if r.Variable != "BUDWEISER 355ML BOTTLE"} == {"None"}
+
+
+def test_d17_slice_records_and_explode(spark):
+    from canvass.plans.spec import run_spec
+
+    body = (_fv("brand_adverts") + _grid("Polytank", "Yes") + _grid("Sintex", "No") + _fv("other_adverts", "TV, Radio")
+            + _grid("Polytank", "Ignored"))
+    rows = run_spec(BY_ID["D17"], _answers(spark, _doc(HDR, body))).collect()
+    assert sorted(r.other_adverts for r in rows) == ["Radio", "TV"]
+    assert {(r.Polytank, r.Sintex) for r in rows} == {("Yes", "No")}
+
+
+def test_d19_section_sits_on_first_record(spark):
+    from canvass.plans.catalog import D19_STATEMENTS
+    from canvass.plans.spec import run_spec
+
+    s1, s2 = D19_STATEMENTS[0], D19_STATEMENTS[10]
+    body = (_grid(s1, "Agree") + _grid(s2, "Neutral") + _grid(s1, "Disagree")
+            + "<Variable>brand_impression</Variable>" + _fv("strong")
+            + "<Variable>brand_impression</Variable>" + _fv("cheap") + "<Variable>overall_best</Variable>")
+    rows = run_spec(BY_ID["D19"], _answers(spark, _doc(HDR[:2], body))).collect()
+    # two records; only record 1 carries brand_impression, so the explode keeps record 1 only
+    assert sorted(r.brand_impression for r in rows) == ["cheap", "strong"]
+    assert {r[s1] for r in rows} == {"Agree"} and {r[s2] for r in rows} == {"Neutral"}
+
+
+def test_d40_two_record_streams_zipped(spark):
+    from canvass.plans.spec import run_spec
+
+    body = (_grid("ITEM_NAME", "Soap") + _grid("SALES", "3") + _grid("ITEM_NAME", "Rice")
+            + _fv("outlet_code", "O1") + _fv("I_1_old_current_sales", "10") + _fv("I_1_old_current_price", "2.5")
+            + _fv("I_2_old_current_sales", "7"))
+    rows = run_spec(BY_ID["D40"], _answers(spark, _doc(HDR[:2], body))).orderBy("rec").collect()
+    assert [(r.ITEM_NAME, r.SALES, r.old_current_sales, r.old_current_price, r.outlet_code) for r in rows] == [
+        ("Soap", "3", "10", "2.5", "O1"), ("Rice", None, "7", None, "O1")]
