@@ -65,13 +65,24 @@ def spec_batch_writer(spec: SurveySpec, target: str,
 
 def run_incremental(spark: SparkSession, landing: str, target: str, checkpoint: str,
                     spec: SurveySpec, *, watermark: str = "2 days",
-                    post: Callable[[DataFrame], DataFrame] | None = None):
-    """Process everything that has landed (``availableNow``) and stop."""
+                    post: Callable[[DataFrame], DataFrame] | None = None,
+                    state_partitions: int | None = None):
+    """Process everything that has landed (``availableNow``) and stop.
+
+    The dedup state is split into ``state_partitions`` (fixed for the life of
+    the checkpoint; default: the cluster's default parallelism, so it grows
+    with the cluster instead of being a constant)."""
     docs = deduplicated(read_landing_stream(spark, landing), watermark)
-    q = (docs.writeStream.foreachBatch(spec_batch_writer(spec, target, post))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        q = (docs.writeStream.foreachBatch(spec_batch_writer(spec, target, post))
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     return q
 
 
