@@ -93,3 +93,28 @@ def column_lists(df, key: str, columns, order: str, *, joiner: str = ", ",
         F.lit(1).cast("long").alias(count_name),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__o"), F.col("__v")))),
                                  lambda x: x["__v"]), joiner).alias(list_name))
+
+
+def option_lists(df, key: str, columns, explode_cols, sep: str = ",", *, joiner: str = ", ",
+                 category: str = "category", list_name: str = "Product_List",
+                 count_name: str = "Distinct_SubjectNum_Count") -> DataFrame:
+    """AGG-1 per column of a wide one-row-per-respondent dataset, equal to
+    "explode the multi-select columns (EX-1), then list each column's distinct
+    values in order of first appearance" -- without building the row product:
+    after the sequential explode, a column's values first appear in the order
+    of its own options, so each list is the cell's options, deduplicated in
+    order. FIL-7 first: respondents whose explode columns are all NULL drop
+    out of every table. A column with no value gives ''."""
+    from ..functions.scalars import option_list
+    from .filters import drop_all_null
+
+    base = drop_all_null(df, list(explode_cols)).filter(_q(key).isNotNull())
+    cells = []
+    for c in columns:
+        empty = F.array().cast("array<string>")
+        opts = (F.coalesce(option_list(_q(c), sep), empty) if c in explode_cols
+                else F.when(_q(c).isNotNull(), F.array(_q(c).cast("string"))).otherwise(empty))
+        cells.append(F.struct(F.lit(c).alias(category), opts.alias("__opts")))
+    long = base.select(_q(key).alias(key), F.inline(F.array(*cells)))
+    return long.select(category, key, F.lit(1).cast("long").alias(count_name),
+                       F.array_join(F.array_distinct("__opts"), joiner).alias(list_name))

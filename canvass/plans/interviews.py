@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.aggregate import option_lists
 from ..schema import SUBJECT
 from ..sources.bindings import page_tag_stream
 from ..sources.documents import (documents_to_stream, grid, interview_document,
                                  materialize_stream, question, tag)
 from ..sources.tables import read_table
-from .catalog import BY_ID, SUPPLIERS
+from .catalog import BY_ID, SKUS_D02, SUPPLIERS
 from .registry import query
 from .spec import run_spec
 
@@ -206,3 +207,109 @@ def q_pages(spark, sf_dir):
         F.min_by("value", F.when(F.col("element") == "title", F.col("seq"))).alias("title"),
         F.min_by("value", F.when(F.col("element") == "h1", F.col("seq"))).alias("h1"),
         F.count(F.lit(1)).alias("n_tags"))
+
+
+def _sku_at(index: F.Column) -> F.Column:
+    return F.element_at(F.array(*[F.lit(s) for s in SKUS_D02]), (index + 1).cast("int"))
+
+
+def part_interviews(spark, sf_dir):
+    """One shelf audit per part: the price of one SKU, the facings of
+    another, and the display location of the first -- left unanswered (last
+    question, no answer) for a third of the parts."""
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_size", "p_retailprice")
+    k = F.col("p_partkey")
+    sku1, sku2 = _sku_at(k % 35), _sku_at((k + 7) % 35)
+    day = F.concat(F.lit("2024-01-"), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"),
+                   F.lit("T08:00:00Z"))
+    header = {"SubjectNum": k, "Upload": day, "Date": day}
+    where = (F.when(F.col("p_size") % 3 == 0, F.lit("Shelf, Fridge"))
+             .when(F.col("p_size") % 3 == 1, F.lit("Counter")))
+    parts = [question(F.concat(sku1, F.lit("_Price")), F.col("p_retailprice")),
+             question(F.concat(sku2, F.lit("_No_of_Facings")), F.col("p_size")),
+             question(F.concat(sku1, F.lit("_Display_Location")), where)]
+    return _spread(p.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+_SKU_LIST = "[" + ", ".join("'" + s.replace("'", "''") + "'" for s in SKUS_D02) + "]"
+
+
+@query("d02_sku_profile_from_xml", f"""
+WITH p AS (SELECT p_partkey, p_size, p_retailprice,
+                  list_extract({_SKU_LIST}, CAST(p_partkey % 35 AS INTEGER) + 1) AS sku1,
+                  list_extract({_SKU_LIST}, CAST((p_partkey + 7) % 35 AS INTEGER) + 1) AS sku2,
+                  '2024-01-' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0') || ' 08:00:00' AS day
+           FROM part),
+g AS (SELECT p.*, Variable FROM p, unnest({_SKU_LIST}) AS t(Variable)),
+c AS (SELECT p_partkey AS subject_id, CAST(p_partkey AS VARCHAR) AS SubjectNum, day AS Upload, day AS Date,
+             Variable,
+             CASE WHEN Variable = sku1 THEN CAST(p_retailprice AS VARCHAR) END AS Price,
+             CASE WHEN Variable = sku2 THEN CAST(p_size AS VARCHAR) END AS No_of_Facings,
+             CASE WHEN Variable = sku1 AND p_size % 3 = 0 THEN 'Shelf, Fridge'
+                  WHEN Variable = sku1 AND p_size % 3 = 1 THEN 'Counter' END AS dl
+      FROM g)
+SELECT subject_id, SubjectNum, Upload, Date, Variable, Price, No_of_Facings, trim(x) AS Display_Location
+FROM c, unnest(string_split(coalesce(dl, 'None'), ',')) AS u(x)
+""")
+def q_d02(spark, sf_dir):
+    """D02 end to end: every <SKU>_<metric> variable (35 x 13) looked up in
+    one pass, long by SKU with one row per SKU even when nothing was found
+    (LK-3, PRJ-6), then Display_Location split and trimmed with the NULL ->
+    'None' parity (EX-3)."""
+    answers = materialize_stream(documents_to_stream(part_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D02"], answers)
+    return out.select(SUBJECT, "SubjectNum", F.date_format("Upload", OUT_TS).alias("Upload"),
+                      F.date_format("Date", OUT_TS).alias("Date"), "Variable", "Price", "No_of_Facings",
+                      "Display_Location")
+
+
+def customer_interviews(spark, sf_dir):
+    """One biscuit-awareness interview per customer. Every seventh customer
+    skips the three multi-select questions (all explode columns NULL)."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment", "c_nationkey")
+    k = F.col("c_custkey")
+    day = F.concat(F.lit("2024-02-"), F.lpad((F.col("c_nationkey") % 28 + 1).cast("string"), 2, "0"),
+                   F.lit("T09:30:00Z"))
+    header = {"SubjectNum": k, "Upload": day, "Date": day}
+    asked = k % 7 != 0
+    parts = [
+        question("biscuit_tom", F.col("c_mktsegment")),
+        F.when(asked, question("biscuit_awareness",
+                               F.when(k % 2 == 0, F.lit("Perk, Yum, Perk")).otherwise(F.lit("Royal")))),
+        # unanswered for two thirds: the loose lookup returns the next question's name
+        F.when(asked, question("biscuit_extra_aware", F.when(k % 3 == 0, F.lit("McBerry,  , Nutrisnax")))),
+        F.when(asked, question("biscuit_advertising", F.lit("TV, Radio"))),
+        question("biscuit_consumed_often", F.col("c_nationkey")),
+    ]
+    return _spread(c.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+_D27_EMPTY = ["biscuit_consumed", "biscuit_consumed_months", "biscuit_consumed_days",
+              "biscuit_consumed_mcberry", "biscuit_consumed_nutrisnax", "biscuit_consumed_perk",
+              "biscuit_consumed_royal", "biscuit_consumed_yum"]
+
+
+@query("d27_awareness_lists_from_xml", """
+WITH v AS (SELECT CAST(c_custkey AS VARCHAR) AS SubjectNum, c_mktsegment AS biscuit_tom,
+                  CASE WHEN c_custkey % 2 = 0 THEN 'Perk, Yum' ELSE 'Royal' END AS biscuit_awareness,
+                  CASE WHEN c_custkey % 3 = 0 THEN 'McBerry, Nutrisnax' ELSE 'biscuit_advertising' END
+                    AS biscuit_extra_aware,
+                  'TV, Radio' AS biscuit_advertising,
+                  CAST(c_nationkey AS VARCHAR) AS biscuit_consumed_often
+           FROM customer WHERE c_custkey % 7 <> 0),
+u AS (UNPIVOT v ON biscuit_tom, biscuit_awareness, biscuit_extra_aware, biscuit_advertising,
+                   biscuit_consumed_often INTO NAME category VALUE Product_List),
+e AS (SELECT v.SubjectNum, t.category, '' AS Product_List
+      FROM v, (VALUES """ + ", ".join(f"('{c}')" for c in _D27_EMPTY) + """) t(category))
+SELECT category, SubjectNum, CAST(1 AS BIGINT) AS Distinct_SubjectNum_Count, Product_List FROM u
+UNION ALL
+SELECT category, SubjectNum, CAST(1 AS BIGINT), Product_List FROM e
+""")
+def q_d27(spark, sf_dir):
+    """D27 end to end: 13 loose lookups, then the 13 per-column respondent
+    lists (AGG-1 after the 11-column EX-1) in one linear pass."""
+    answers = materialize_stream(documents_to_stream(customer_interviews(spark, sf_dir)))
+    spec = BY_ID["D27"]
+    wide = run_spec(spec.__class__(**{**spec.__dict__, "explode": None}), answers)
+    cols = list(spec.blocks[0].variables)
+    return option_lists(wide, "SubjectNum", cols, spec.explode[0], spec.explode[1])

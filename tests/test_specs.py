@@ -132,3 +132,35 @@ def test_d40_two_record_streams_zipped(spark):
     rows = run_spec(BY_ID["D40"], _answers(spark, _doc(HDR[:2], body))).orderBy("rec").collect()
     assert [(r.ITEM_NAME, r.SALES, r.old_current_sales, r.old_current_price, r.outlet_code) for r in rows] == [
         ("Soap", "3", "10", "2.5", "O1"), ("Rice", None, "7", None, "O1")]
+
+
+def test_option_lists_equal_explode_then_group(spark):
+    """The linear per-column lists equal the sequential explode (row product)
+    followed by distinct values in order of first appearance."""
+    import itertools
+
+    from canvass.operators.aggregate import option_lists
+
+    rows = [("1", "a, b, a", "x", " , y, z", "t"), ("2", None, None, None, "u"),
+            ("3", "c", None, "y,y", None), ("4", " , ", "w", None, "v")]
+    cols, explode = ["p", "q", "r", "s"], ["p", "q", "r"]
+    df = spark.createDataFrame(rows, "k string, p string, q string, r string, s string")
+    got = {(r.category, r.k): r.Product_List for r in option_lists(df, "k", cols, explode).collect()}
+
+    def opts(v):
+        return [o.strip() for o in v.split(",") if o.strip()] if v is not None else []
+
+    want = {}
+    for k, *vals in rows:
+        cells = dict(zip(cols, vals))
+        if all(cells[c] is None for c in explode):
+            continue
+        lists = [opts(cells[c]) or [None] if c in explode else [cells[c]] for c in cols]
+        product = list(itertools.product(*lists))
+        for i, c in enumerate(cols):
+            seen = []
+            for row in product:
+                if row[i] is not None and row[i] not in seen:
+                    seen.append(row[i])
+            want[(c, k)] = ", ".join(seen)
+    assert got == want
