@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import ATTRIBUTE, ELEMENT, SEQ, SUBJECT, VALUE
+from ..schema import ATTRIBUTE, ELEMENT, SEQ, SUBJECT
 
 
 def element_filter(stream: DataFrame, elements: Sequence[str]) -> DataFrame:

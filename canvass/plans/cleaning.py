@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalars import (GPS_COLUMNS, duration_seconds, gps_columns, loop_index, normalise_name,
+from ..functions.scalars import (duration_seconds, gps_columns, loop_index, normalise_name,
                                  parse_optional_ts, parse_survey_ts, split_trim_join,
                                  strip_loop_prefix, strip_parenthetical, to_decimal, to_int,
                                  tolerant_ts, ts_parse_failed)

@@ -8,7 +8,6 @@ answers -> NULL), whatever the interviews contain.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame

@@ -18,6 +18,13 @@ TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 MICROS_PER_DAY = 86_400_000_000
 
 
+EVENT_BLOCK_CONF = "canvass.events.blockMicros"
+
+
+def event_block_micros(spark: SparkSession) -> int:
+    return int(spark.conf.get(EVENT_BLOCK_CONF, str(MICROS_PER_DAY)))
+
+
 def _micros(c: str):
     """Microseconds since epoch of a (possibly zone-less) timestamp, read as UTC
     (the engine's session time zone)."""
@@ -44,14 +51,17 @@ def conversation_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2: one subject per user, rows in time order (``(user_id, ts)`` is unique).
 
-    seq = microseconds since epoch; block = day, so a user's day of events is the
-    largest unit one window task handles.
+    seq = microseconds since epoch; block = a fixed time slice (default one
+    day, ``canvass.events.blockMicros``), so one user's slice is the largest
+    unit a window task handles. Narrower slices bound a hot user tighter;
+    wider ones keep the block summary small for ordinary users (at most one
+    summary row per user and slice).
     """
     e = read_table(spark, sf_dir, "events", "user_id", "ts", "event_type", "value")
     seq = _micros("ts")
     return _stream(e.select(
         F.col("user_id").alias("subject_id"), seq.alias("seq"),
-        F.floor(seq / F.lit(MICROS_PER_DAY)).alias("block"),
+        F.floor(seq / F.lit(event_block_micros(spark))).alias("block"),
         F.col("event_type").alias("element"), F.lit("text").alias("attribute"),
         F.col("value").cast("string").alias("value")))
 
@@ -164,5 +174,5 @@ def event_interview_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct((base + 3).alias("seq"), F.lit(ANSWER).alias("element"), k.alias("value")))
     out = e.select(F.col("user_id").alias("subject_id"), F.inline(rows))
     return _stream(out.select(
-        "subject_id", "seq", F.floor(F.col("seq") / F.lit(4 * MICROS_PER_DAY)).alias("block"),
+        "subject_id", "seq", F.floor(F.col("seq") / F.lit(4 * event_block_micros(spark))).alias("block"),
         "element", F.lit("text").alias("attribute"), "value"))

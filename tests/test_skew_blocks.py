@@ -26,3 +26,16 @@ def test_same_result_with_tiny_blocks(spark, name):
     finally:
         spark.conf.unset("canvass.stream.blockSpan")
     assert default == tiny and len(default) > 0
+
+
+@pytest.mark.parametrize("name", ["lk4_next_purchase_after_view", "lk7_header_pairs", "lk3_event_type_metrics",
+                                  "grp3_click_then_purchase"])
+def test_event_streams_same_with_minute_blocks(spark, name):
+    qs, _ = all_queries()
+    default = _rows(qs[name](spark, SF_SMALL))
+    spark.conf.set("canvass.events.blockMicros", str(60 * 1_000_000))
+    try:
+        tiny = _rows(qs[name](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("canvass.events.blockMicros")
+    assert default == tiny and len(default) > 0
