@@ -47,11 +47,18 @@ def flatten_document(xml_text: str) -> list[tuple[str, str, str]]:
     return out
 
 
-def _flatten_batches(span: int):
+def _flatten_batches(span: int, docs_per_chunk: int = 1000):
+    def frame(subj, seqs, els, attrs, vals, errs):
+        seq = pd.Series(seqs, dtype="int64")
+        return pd.DataFrame({"subject_id": pd.Series(subj, dtype="int64"), "seq": seq,
+                             "block": seq // span, "element": els, "attribute": attrs,
+                             "value": vals, "parse_error": errs})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            subj, seqs, els, attrs, vals, errs = [], [], [], [], [], []
-            for sid, doc in zip(pdf["subject_id"], pdf["xml"]):
+            cols = [], [], [], [], [], []
+            subj, seqs, els, attrs, vals, errs = cols
+            for n, (sid, doc) in enumerate(zip(pdf["subject_id"], pdf["xml"]), start=1):
                 try:
                     triples = flatten_document(doc) if doc is not None else []
                 except ET.ParseError as e:  # quarantined, not fatal (QUA-1)
@@ -61,10 +68,12 @@ def _flatten_batches(span: int):
                 for i, (el, at, va) in enumerate(triples):
                     subj.append(sid); seqs.append(i); els.append(el)
                     attrs.append(at); vals.append(va); errs.append(None)
-            seq = pd.Series(seqs, dtype="int64")
-            yield pd.DataFrame({"subject_id": pd.Series(subj, dtype="int64"), "seq": seq,
-                                "block": seq // span, "element": els, "attribute": attrs,
-                                "value": vals, "parse_error": errs})
+                if n % docs_per_chunk == 0:   # bounded output batches
+                    yield frame(*cols)
+                    cols = [], [], [], [], [], []
+                    subj, seqs, els, attrs, vals, errs = cols
+            if subj:
+                yield frame(*cols)
     return run
 
 

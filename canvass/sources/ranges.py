@@ -14,12 +14,18 @@ def day_range(start: Column, end: Column) -> Column:
         F.array().cast("array<date>"))
 
 
-def upload_window(df: DataFrame, ts_col: str, day: str) -> DataFrame:
-    """SRC-2: rows uploaded within one UTC day, 00:00:00.000 - 23:59:59.999
-    (a range predicate that reaches the parquet scan as PushedFilters)."""
+def upload_window(df: DataFrame, ts_col: str, day: str,
+                  partition_col: str | None = "upload_date") -> DataFrame:
+    """SRC-2: rows uploaded within one UTC day, 00:00:00.000 - 23:59:59.999.
+    The range reaches the parquet scan as PushedFilters; when the table is
+    partitioned by upload day, the day is also a partition filter, so only
+    that day's folder is listed and read."""
     start = F.to_timestamp(F.lit(f"{day} 00:00:00.000"))
     end = F.to_timestamp(F.lit(f"{day} 23:59:59.999"))
-    return df.filter((F.col(ts_col) >= start) & (F.col(ts_col) <= end))
+    out = df.filter((F.col(ts_col) >= start) & (F.col(ts_col) <= end))
+    if partition_col and partition_col in df.columns:
+        out = out.filter(F.col(partition_col) == F.to_date(F.lit(day)))
+    return out
 
 
 def range_scan(df: DataFrame, col: str, low, high) -> DataFrame:

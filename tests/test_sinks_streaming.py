@@ -99,3 +99,21 @@ def test_stream_equals_batch(spark):
     cols = sorted(batch.columns)
     assert streamed.count() == batch.count()
     assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
+
+
+def test_upload_window_prunes_partitions(spark):
+    """SRC-2 on a landing table partitioned by upload day: the day window is a
+    partition filter (only that day's folder is read)."""
+    from canvass.sources.ranges import upload_window
+
+    base = os.path.join(_scratch(), "landing")
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
+        F.col("o_orderkey").alias("subject_id"), F.col("o_orderdate").cast("timestamp").alias("upload_ts"))
+    o.withColumn("upload_date", F.to_date("upload_ts")).write.partitionBy("upload_date").parquet(base)
+    day = o.select(F.date_format(F.min("upload_ts"), "yyyy-MM-dd")).first()[0]
+    landed = spark.read.parquet(base)
+    picked = upload_window(landed, "upload_ts", day)
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(upload_date" in plan
+    want = o.filter(F.to_date("upload_ts") == F.lit(day)).count()
+    assert picked.count() == want > 0
