@@ -125,3 +125,16 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
         spark.read.parquet(path)
     except Exception:
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+
+
+def append_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                   name: str = "load_counts") -> dict:
+    """SNK-1 + AGG-5: append and count the loaded rows in the same pass with
+    ``DataFrame.observe`` -- no second scan; only the metric reaches the
+    driver."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    append_table(observed, path, partition_by)
+    return obs.get
