@@ -99,8 +99,10 @@ PARENTHETICAL = r"\(.*\)"
 
 
 def strip_loop_prefix(c) -> Column:
-    """SC-5: remove every ``I_<n>_`` (item 1..n then share one name)."""
-    return F.regexp_replace(_c(c), LOOP_PREFIX, "")
+    """SC-5: remove every ``I_<n>_`` (item 1..n then share one name). Values
+    without ``I_`` (most answers) skip the regex engine."""
+    x = _c(c)
+    return F.when(x.contains("I_"), F.regexp_replace(x, LOOP_PREFIX, "")).otherwise(x)
 
 
 def loop_index(c) -> Column:
