@@ -234,7 +234,7 @@ def part_interviews(spark, sf_dir):
 _SKU_LIST = "[" + ", ".join("'" + s.replace("'", "''") + "'" for s in SKUS_D02) + "]"
 
 
-@query("d02_sku_profile_from_xml", f"""
+_D02_CTES = f"""
 WITH p AS (SELECT p_partkey, p_size, p_retailprice,
                   list_extract({_SKU_LIST}, CAST(p_partkey % 35 AS INTEGER) + 1) AS sku1,
                   list_extract({_SKU_LIST}, CAST((p_partkey + 7) % 35 AS INTEGER) + 1) AS sku2,
@@ -248,6 +248,10 @@ c AS (SELECT p_partkey AS subject_id, CAST(p_partkey AS VARCHAR) AS SubjectNum,
              CASE WHEN Variable = sku1 AND p_size % 3 = 0 THEN 'Shelf, Fridge'
                   WHEN Variable = sku1 AND p_size % 3 = 1 THEN 'Counter' END AS dl
       FROM g)
+"""
+
+
+@query("d02_sku_profile_from_xml", _D02_CTES + """
 SELECT subject_id, SubjectNum, Upload, Date, Variable, Price, No_of_Facings, trim(x) AS Display_Location
 FROM c, unnest(string_split(coalesce(dl, 'None'), ',')) AS u(x)
 """)
@@ -313,3 +317,35 @@ def q_d27(spark, sf_dir):
     wide = run_spec(spec.__class__(**{**spec.__dict__, "explode": None}), answers)
     cols = list(spec.blocks[0].variables)
     return option_lists(wide, "SubjectNum", cols, spec.explode[0], spec.explode[1])
+
+
+def sku_summaries(long, period: str):
+    """SET-2 + SNK-6: the long SKU table -> the two typed summary tables
+    (present columns, deduplicated within each SKU table, SC-10 casts)."""
+    from ..sinks.writers import SKU_SALES_INFO, SKU_SUMMARY, conform
+
+    with_period = long.withColumn("Period", F.to_date(F.lit(period)))
+    return (conform(with_period, SKU_SUMMARY).dropDuplicates(),
+            conform(with_period, SKU_SALES_INFO).dropDuplicates())
+
+
+RUN_PERIOD = "2024-03-01"   # PRJ-1 / X7: Period is a run parameter
+
+
+@query("set2_sku_sales_info_from_xml", _D02_CTES + f"""
+SELECT DISTINCT '{RUN_PERIOD}' AS Period, SubjectNum, Date, Upload, Variable,
+       CAST(NULL AS DECIMAL(10, 2)) AS Quantity_Delivered, TRY_CAST(trim(Price) AS DECIMAL(10, 2)) AS Price,
+       CAST(NULL AS DECIMAL(10, 2)) AS Estimated_Sales, CAST(NULL AS INTEGER) AS Pack_Quantity,
+       CAST(NULL AS INTEGER) AS Keg_Quantity
+FROM c
+""")
+def q_sku_sales(spark, sf_dir):
+    """D02 -> SKU sales summary: typed (DECIMAL/INT via try_cast), Period
+    first, duplicates from the Display_Location explode removed."""
+    answers = materialize_stream(documents_to_stream(part_interviews(spark, sf_dir)))
+    long = run_spec(BY_ID["D02"], answers)
+    _, sales = sku_summaries(long, RUN_PERIOD)
+    return sales.select(F.col("Period").cast("string").alias("Period"), "SubjectNum",
+                        F.date_format("Date", OUT_TS).alias("Date"), F.date_format("Upload", OUT_TS).alias("Upload"),
+                        "Variable", "Quantity_Delivered", "Price", "Estimated_Sales", "Pack_Quantity", "Keg_Quantity")
+
