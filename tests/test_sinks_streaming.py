@@ -147,3 +147,29 @@ def test_streaming_daily_counts_equal_batch(spark):
     last = max(d for d, _ in want)
     assert got == {x for x in want if x[0] != last}
     assert LANDING_SCHEMA.fieldNames() == ["subject_id", "upload_ts", "xml"]
+
+
+def test_load_survey_idempotent_with_rejects(spark):
+    from canvass.plans.survey_load import load_survey
+
+    base = _scratch()
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
+        F.col("o_orderkey").alias("subject_id"), F.col("o_orderdate").cast("timestamp").alias("upload_ts"))
+    docs = order_interviews(spark, SF_SMALL).join(o, "subject_id")
+    bad = spark.createDataFrame([(10**9, "<Interview><Header>", )], "subject_id long, xml string") \
+        .withColumn("upload_ts", F.to_timestamp(F.lit("1996-01-02 00:00:00")))
+    landing = os.path.join(base, "landing")
+    docs.unionByName(bad).withColumn("upload_date", F.to_date("upload_ts")) \
+        .write.partitionBy("upload_date").parquet(landing)
+    out = os.path.join(base, "out")
+    first = load_survey(spark, landing, [BY_ID["D01"]], out, first_day="1996-01-01", last_day="1996-12-31",
+                        run_date="2026-03-15")
+    again = load_survey(spark, landing, [BY_ID["D01"]], out, first_day="1996-01-01", last_day="1996-12-31",
+                        run_date="2026-03-15")
+    loaded = spark.read.parquet(os.path.join(out, "profile"))
+    want = o.filter(F.year("upload_ts") == 1996).count()
+    assert first == again == {"profile": want} and loaded.count() == want > 0
+    assert {r.Period for r in loaded.select("Period").distinct().collect()} == {"2026-03-01"}
+    assert loaded.columns[0] == "Period"
+    rejects = spark.read.parquet(os.path.join(out, "_rejects")).collect()
+    assert [r.subject_id for r in rejects] == [10**9, 10**9]   # reported on each run
