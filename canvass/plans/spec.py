@@ -88,13 +88,15 @@ class SurveySpec:
     def output_columns(self) -> list[str]:
         cols = [HEADER_RENAME.get(h, h) for h in self.header]
         for b in self.blocks:
-            cols += [self.rename.get(v, v) for v in b.variables]
+            cols += [self.rename.get(v, v) for v in b.variables if self.rename.get(v, v) not in cols]
         if self.vector:
             cols += list(self.vector.labels)
         if self.section:
             cols.append(self.section.name)
         if self.gps:
             cols = [c for c in cols if c != self.gps[0]] + GPS_COLUMNS
+        if self.sku_metric:
+            cols += ["Variable", *self.sku_metric[1]]
         return list(dict.fromkeys(cols))
 
 
@@ -171,7 +173,6 @@ def run_spec(spec: SurveySpec, answers: DataFrame, period: str | None = None) ->
         sv = _attach_single(out.select(SUBJECT).distinct(), sv, False).fillna("", subset=[sc.name])
         out = _attach_single(out, sv, has_records)
     # declared columns, missing -> NULL
-    want = spec.output_columns()
     present = set(out.columns)
     keys = [SUBJECT] + (["rec"] if has_records else [])
     raw_cols = []

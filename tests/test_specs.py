@@ -50,7 +50,9 @@ Speed: 1.5 km/h</QuestionAnswer></Answers></Interview>"""
 def test_d01_profile(spark):
     from canvass.plans.spec import run_spec
 
-    r = run_spec(BY_ID["D01"], _answers(spark, DOC_D01)).collect()[0].asDict()
+    out = run_spec(BY_ID["D01"], _answers(spark, DOC_D01))
+    assert out.columns == ["subject_id", *BY_ID["D01"].output_columns()]
+    r = out.collect()[0].asDict()
     assert r["Region"] == "North"
     assert r["Contact"] == "gps_address"          # loose: unanswered -> next question's name
     assert r["VisitEnd"] is None and r["NetDuration"] == "00:04"
@@ -92,7 +94,9 @@ def test_d02_sku_metrics_long_with_none_parity(spark):
     from canvass.plans.spec import run_spec
 
     body = _fv("BUDWEISER 355ML BOTTLE_Price", "5.0") + _fv("BUDWEISER 355ML BOTTLE_Display_Location", "Shelf, Fridge")
-    rows = run_spec(BY_ID["D02"], _answers(spark, _doc(HDR, body))).collect()
+    out = run_spec(BY_ID["D02"], _answers(spark, _doc(HDR, body)))
+    assert out.columns == ["subject_id", *BY_ID["D02"].output_columns()]
+    rows = out.collect()
     assert len(rows) == 34 + 2                                   # 35 SKUs, Budweiser exploded in two
     bud = [r for r in rows if r.Variable == "BUDWEISER 355ML BOTTLE"]
     assert sorted(r.Display_Location for r in bud) == ["Fridge", "Shelf"] and bud[0].Price == "5.0"
