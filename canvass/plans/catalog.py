@@ -3,7 +3,7 @@
 Everything below the "fixed values" line is data that must equal the survey
 questionnaires for right results: header tags, variable names (exact text,
 including typographic apostrophes and trailing dots), sentinels, explode
-columns and separators. Decisions on the reference defects (SURVEY 2.L):
+columns and separators. Decisions on the known defects of the original jobs (SURVEY 2.L):
 dead sentinels are declared ``None`` (X5), the two fused statements of D19
 are kept fused for parity (X6), loose lookups stay loose where the dataset
 used them (X2), GPS speed uses the fixed layout unless noted (X3).
@@ -123,13 +123,13 @@ SUPPLIERS = ("Open Market/ Marché libre", "Bulk suppliers/ Fournisseurs en vrac
              "Nearby retailers/ Détailants à proximité")
 
 SPECS: tuple[SurveySpec, ...] = (
-    # inbev_ra
+    # survey group 1: beer retail audit
     SurveySpec("D01", "recruit_profile", H6, (loose(
         "Enumerator_Name", "gps_address", "Visit_Date", "Region", "Store_Name", "Contact",
         "Outlet_Code"),), "profile", gps=("gps_address", "dms_fixed")),
     SurveySpec("D02", "social", H3, (), "sku_profile", sku_metric=(SKUS_D02, METRICS_D02),
                explode_trim="Display_Location", drop_all_null=False),
-    # lush_census
+    # survey group 2: salon census
     SurveySpec("D03", "location", ("SubjectNum", "Date", "Upload"), (loose("Outlet_code", "GPS"),),
                "recruit_location", gps=("GPS", "dms_fixed")),
     SurveySpec("D04", "recruit_profile", H6, (loose(
@@ -142,7 +142,7 @@ SPECS: tuple[SurveySpec, ...] = (
                "recruit_category", categories=True),
     SurveySpec("D08", "outlet_type", H3, (loose("Outlet_code", "outlet_type", "Salon", "Retail"),),
                "recruit_outlet_type"),
-    # malted_soft_drinks
+    # survey group 3: malt drinks outlet audit
     SurveySpec("D09", "recruit_profile", H6, (loose(
         "Enumerator_Name", "Region", "Store_Name", "Outlet_Code", "Visit_Date", "Contact",
         "gps_address"),), "recruit_profile", gps=("gps_address", "decimal")),
@@ -160,7 +160,7 @@ SPECS: tuple[SurveySpec, ...] = (
     SurveySpec("D13", "product_status", H2, (
         rec(tuple(f"{s}_In_Stock_Status" for s in MSD_SKUS), "CLUB DRAUGHT 500ML_In_Stock_Status",
             prefix=True),), "product_status", header_pairs=True),
-    # polytank_bht
+    # survey group 4: water tank brand health
     SurveySpec("D14", "recruit_profile", H6, (loose(
         "surveyor", "gps", "region", "age_range", "gender", "Contact", "employment_status",
         "job_type", "survey_recency"),), "recruit_profile", gps=("gps", "dms_fixed")),
@@ -191,7 +191,7 @@ SPECS: tuple[SurveySpec, ...] = (
                "owner_impression", header_pairs=True, drop_all_null=False,
                section=Section("brand_impression", "brand_impression", "overall_best"),
                explode=(("brand_impression",), ",")),
-    # polytank_ra
+    # survey group 5: water tank retail audit
     SurveySpec("D20", "recruit_profile", H6, (loose(
         "Enumerator_Name", "Region", "Store_Name", "Town", "owner_name", "Outlet_Code", "Channel_Type",
         "survey_end", "Visit_Date", "Contact", "gps_address", "closing_gps"),), "recruit_profile"),
@@ -204,7 +204,7 @@ SPECS: tuple[SurveySpec, ...] = (
          "item_manufacturer", "item_weight", "item_unit", "item_pack_type", "Orientation",
          "country_of_origin"), "item_category", prefix=True),), "product_details",
         header_pairs=True, not_done=True),
-    # project_crunch
+    # survey group 6: biscuit consumer study
     SurveySpec("D23", "advert", H2, (
         loose("first_ad_view", "first_ad_brand", "first_ad_impression", "first_ad_extra_impression",
               "second_ad_view", "second_ad_brand", "second_ad_impression", "second_ad_extra_impression"),
@@ -230,7 +230,7 @@ SPECS: tuple[SurveySpec, ...] = (
         explode=(("biscuit_influence",), ",")),
     SurveySpec("D29", "filter_sku", H2, (rec(D29_SKUS, None, grid=True),), "special_skus",
                header_pairs=True, drop_all_null=False),
-    # project_speed
+    # survey group 7: motorbike consumer study
     SurveySpec("D30", "recruit_profile", H6, (loose(
         "surveyor", "gps_point", "region", "name", "phone_number", "age", "survey_agree", "job_type",
         "market_research_study", "own_motorbike", "consider_bike", "usage_history", "bike_frequency",
@@ -255,7 +255,7 @@ SPECS: tuple[SurveySpec, ...] = (
         explode=(("brand_advert", "boxer_advert_location"), ",")),
     SurveySpec("D36", "advert_impression", H2, (rec(BIKES + ("{0}",), None, grid=True),),
                "advert_impression", header_pairs=True, drop_all_null=False),
-    # togo_water
+    # survey group 8: bottled water retail audit
     SurveySpec("D37", "recruit_items", H2, (rec(ITEM_VARS, "item_category", prefix=True),),
                "recruitment_items", header_pairs=True, fill_first=("outlet_code",), not_done=True,
                strip_paren=("item_name",), rename={"scan": "item_barcode"}),

@@ -1,6 +1,6 @@
 """STR-1: incremental ingest of interview documents with Structured Streaming.
 
-The reference re-runs a date range; here new interview files are picked up as
+The original jobs re-run a date range; here new interview files are picked up as
 they land. Each interview arrives whole, so every stream operator runs per
 micro-batch inside ``foreachBatch``; the only streaming state is the
 deduplication of re-delivered interviews (``dropDuplicatesWithinWatermark``
