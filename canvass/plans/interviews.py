@@ -349,3 +349,78 @@ def q_sku_sales(spark, sf_dir):
                         F.date_format("Date", OUT_TS).alias("Date"), F.date_format("Upload", OUT_TS).alias("Upload"),
                         "Variable", "Quantity_Delivered", "Price", "Estimated_Sales", "Pack_Quantity", "Keg_Quantity")
 
+
+
+def impression_interviews(spark, sf_dir):
+    """One brand-impression interview per order: two grid statements (record
+    1), the first statement again for even orders (record 2), then two
+    'brand_impression' section picks between markers."""
+    from .catalog import D19_STATEMENTS
+
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    k = F.col("o_orderkey")
+    header = {"SubjectNum": k, "Upload": F.lit("2024-03-04T05:06:07Z")}
+    pick = lambda v: F.concat(F.lit("<Variable>brand_impression</Variable><FullVariable>"),
+                              v, F.lit("</FullVariable>"))
+    parts = [
+        grid(D19_STATEMENTS[0], F.col("o_orderpriority")),
+        grid(D19_STATEMENTS[10], F.col("o_orderstatus")),
+        F.when(k % 2 == 0, grid(D19_STATEMENTS[0], F.col("o_orderstatus"))),
+        pick(F.lit("strong")),
+        pick(F.substring("o_orderpriority", 3, 20)),
+        F.lit("<Variable>overall_best</Variable>"),
+    ]
+    return _spread(o.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d19_impression_from_xml", """
+SELECT o_orderkey AS subject_id, CAST(o_orderkey AS VARCHAR) AS SubjectNum, '2024-03-04 05:06:07' AS Upload,
+       o_orderpriority AS first_statement, o_orderstatus AS other_statement, x AS brand_impression
+FROM orders, unnest(['strong', substr(o_orderpriority, 3, 20)]) AS u(x)
+""")
+def q_d19(spark, sf_dir):
+    """D19 end to end: grid records (GRP-1, strict Text/TopicAnswer), the
+    section list (GRP-3 in the half-open marker slice) sitting on record 1
+    only, then the explode keeps record 1 only (FIL-7 parity)."""
+    from .catalog import D19_STATEMENTS
+
+    answers = materialize_stream(documents_to_stream(impression_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D19"], answers)
+    return out.select(SUBJECT, "SubjectNum", F.date_format("Upload", OUT_TS).alias("Upload"),
+                      F.col(f"`{D19_STATEMENTS[0]}`").alias("first_statement"),
+                      F.col(f"`{D19_STATEMENTS[10]}`").alias("other_statement"), "brand_impression")
+
+
+def stock_interviews(spark, sf_dir):
+    """One old-items interview per order: two grid items (ITEM_NAME opens a
+    record) beside two coded sales records, the outlet code asked first."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority",
+                   "o_totalprice", "o_orderstatus")
+    k = F.col("o_orderkey")
+    header = {"SubjectNum": k, "Upload": F.lit("2024-03-04T05:06:07Z")}
+    parts = [
+        grid("ITEM_NAME", F.concat(F.lit("item-"), F.col("o_orderstatus"))),
+        grid("SALES", F.col("o_orderpriority")),
+        grid("ITEM_NAME", F.lit("second")),
+        question("outlet_code", F.col("o_custkey")),
+        question("I_1_old_current_sales", F.col("o_totalprice")),
+        question("I_1_old_current_price", F.lit("1.5")),
+        question("I_2_old_current_sales", F.lit("0")),
+    ]
+    return _spread(o.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d40_old_items_from_xml", """
+SELECT o_orderkey AS subject_id, CAST(1 AS BIGINT) AS rec, 'item-' || o_orderstatus AS ITEM_NAME,
+       o_orderpriority AS SALES, CAST(o_totalprice AS VARCHAR) AS old_current_sales,
+       '1.5' AS old_current_price, CAST(o_custkey AS VARCHAR) AS outlet_code FROM orders
+UNION ALL
+SELECT o_orderkey, CAST(2 AS BIGINT), 'second', NULL, '0', NULL, CAST(o_custkey AS VARCHAR) FROM orders
+""")
+def q_d40(spark, sf_dir):
+    """D40 end to end (GRP-4): grid item records and coded records zipped by
+    record number (JN-2), outlet code filled from the first record (JN-3)."""
+    answers = materialize_stream(documents_to_stream(stock_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D40"], answers)
+    return out.select(SUBJECT, "rec", "ITEM_NAME", "SALES", "old_current_sales", "old_current_price",
+                      "outlet_code")
