@@ -168,3 +168,17 @@ def test_option_lists_equal_explode_then_group(spark):
                     seen.append(row[i])
             want[(c, k)] = ", ".join(seen)
     assert got == want
+
+
+def test_attribute_rows_stay_in_the_stream(spark):
+    """FIL-1 keeps attribute rows of the kept tags: the attribute row is the
+    'next row' of its question (loose gives its value, strict gives NULL)."""
+    from canvass.operators.lookup import lookup
+
+    doc = ('<I><Answers><FullVariable code="7">q1</FullVariable><QuestionAnswer>a</QuestionAnswer>'
+           '<FullVariable>q2</FullVariable><QuestionAnswer lang="fr">b</QuestionAnswer></Answers></I>')
+    s = _answers(spark, doc)
+    loose = lookup(s, ["q1", "q2"], mode="loose").first()
+    strict = lookup(s, ["q1", "q2"], mode="strict").first()
+    assert (loose.q1, strict.q1) == ("7", None)
+    assert (loose.q2, strict.q2) == ("b", "b")
