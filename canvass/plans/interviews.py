@@ -424,3 +424,58 @@ def q_d40(spark, sf_dir):
     out = run_spec(BY_ID["D40"], answers)
     return out.select(SUBJECT, "rec", "ITEM_NAME", "SALES", "old_current_sales", "old_current_price",
                       "outlet_code")
+
+
+def audit_interviews(spark, sf_dir):
+    """One audit-capture interview per supplier: question block, a strict
+    six-part GPS address (odd suppliers lack the speed line), and grid
+    labels -- 'City' left unanswered."""
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    t = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)              # 25 rows, bounded
+    k = F.col("s_suppkey")
+    ts = F.lit("2024-05-06T07:08:09Z")
+    header = {"SubjectNum": k, "Upload": ts, "VisitStart": ts, "VisitEnd": F.lit(""),
+              "ClientDuration": F.lit("00:12"), "Date": ts, "SurveyorName": F.col("s_name")}
+    gps = F.concat(F.lit("Latitude: "), (k % 60).cast("string"), F.lit(" 36' 12.0 N (5.6)\n"),
+                   F.lit("Longitude: 0 11' W (-0.18)\nCaptured at: 2024-01-02 10:11:12\n"),
+                   F.lit("Altitude: "), (k % 100).cast("string"), F.lit("\nBearing: 10.0\n"),
+                   F.when(k % 2 == 0, F.lit("Speed: 1.5 km/h")).otherwise(F.lit("")))
+    parts = [
+        question("surveyor", F.col("s_name")),
+        question("outlet_name", F.col("n_name")),
+        question("outlet_code", k),
+        question("address", gps),
+        question("item_count", F.col("s_nationkey")),
+        grid("Country", F.col("n_name")),
+        grid("City", None),
+        grid("Landmark", F.concat(F.lit("near "), k.cast("string"))),
+    ]
+    return _spread(t.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d41_audit_profile_from_xml", """
+SELECT s_suppkey AS subject_id, CAST(s_suppkey AS VARCHAR) AS SubjectNum, s_name AS SurveyorName,
+       '00:12' AS NetDuration, s_name AS surveyor, n_name AS outlet_name, CAST(s_suppkey AS VARCHAR) AS outlet_code,
+       CAST(NULL AS VARCHAR) AS prev_item_count, CAST(s_nationkey AS VARCHAR) AS item_count,
+       n_name AS Country, 'Landmark' AS City, 'near ' || s_suppkey AS Landmark,
+       CAST(NULL AS VARCHAR) AS Direction,
+       CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_suppkey % 60 AS VARCHAR) || ' 36'' 12.0 N' END AS GPS_Latitude,
+       CASE WHEN s_suppkey % 2 = 0 THEN '0 11'' W' END AS GPS_Longitude,
+       CASE WHEN s_suppkey % 2 = 0 THEN '2024-01-02 10:11:12' END AS GPS_Date,
+       CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_suppkey % 100 AS VARCHAR) END AS GPS_Altitude,
+       CASE WHEN s_suppkey % 2 = 0 THEN '10.0' END AS GPS_Bearing,
+       CASE WHEN s_suppkey % 2 = 0 THEN '1.5' END AS "GPS_Speed (km/h)"
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+""")
+def q_d41(spark, sf_dir):
+    """D41 end to end: two loose lookup blocks side by side (questions and
+    grid labels; an unanswered label yields the next label's name), strict
+    GPS layout (all six parts or none), header of seven elements."""
+    answers = materialize_stream(documents_to_stream(audit_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D41"], answers)
+    return out.select(SUBJECT, "SubjectNum", "SurveyorName", "NetDuration", "surveyor", "outlet_name",
+                      "outlet_code", "prev_item_count", "item_count", "Country", "City", "Landmark",
+                      "Direction", *[F.col(f"`{c}`") for c in
+                                     ["GPS_Latitude", "GPS_Longitude", "GPS_Date", "GPS_Altitude",
+                                      "GPS_Bearing", "GPS_Speed (km/h)"]])

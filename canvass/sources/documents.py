@@ -131,9 +131,12 @@ def question(name: Column | str, answer: Column | None) -> Column:
     return F.concat(q, F.coalesce(tag("QuestionAnswer", answer), F.lit("")))
 
 
-def grid(label: str, answer: Column) -> Column:
-    return F.concat(F.lit("<Text>"), xml_escape(F.lit(label)), F.lit("</Text>"),
-                    F.coalesce(tag("TopicAnswer", answer), F.lit("")))
+def grid(label: str, answer: Column | None) -> Column:
+    """A Text label / TopicAnswer pair; no answer leaves the label alone."""
+    head = F.concat(F.lit("<Text>"), xml_escape(F.lit(label)), F.lit("</Text>"))
+    if answer is None:
+        return head
+    return F.concat(head, F.coalesce(tag("TopicAnswer", answer), F.lit("")))
 
 
 def interview_document(header: dict[str, Column], parts: Sequence[Column]) -> Column:
