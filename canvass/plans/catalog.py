@@ -149,7 +149,7 @@ SPECS: tuple[SurveySpec, ...] = (
     SurveySpec("D10", "outlet_describe", H2, (
         Block(("branded_status", "brand_type", "vc_status", "vc_count", "abl_fridge_status",
                "abl_fridge_count"), mode="loose", strip_prefix=True),
-        rec(tuple(f"vc_Brand{i}" for i in range(1, 11)), None, grid=True, prefix=True)),
+        rec(tuple(f"vc_Brand{i}" for i in range(1, 11)), None, grid=True)),
         "outlet_describe", header_pairs=True, explode=(("brand_type",), ",")),
     SurveySpec("D11", "product_availability", H2, (
         rec(tuple(f"{s}_Visit_Availability" for s in MSD_SKUS), "CLUB DRAUGHT 500ML_Visit_Availability",

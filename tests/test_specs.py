@@ -182,3 +182,15 @@ def test_attribute_rows_stay_in_the_stream(spark):
     strict = lookup(s, ["q1", "q2"], mode="strict").first()
     assert (loose.q1, strict.q1) == ("7", None)
     assert (loose.q2, strict.q2) == ("b", "b")
+
+
+def test_d10_prefix_only_in_question_block(spark):
+    """The loop prefix is stripped in the question block, not in the grid
+    block; brand_type (a lookup cell, record 1 only) is exploded."""
+    from canvass.plans.spec import run_spec
+
+    body = (_fv("I_1_brand_type", "Club, Star") + _fv("vc_count", "2")
+            + _grid("vc_Brand1", "Club") + _grid("I_1_vc_Brand2", "Star"))
+    rows = run_spec(BY_ID["D10"], _answers(spark, _doc(HDR[:2], body))).collect()
+    assert sorted(r.brand_type for r in rows) == ["Club", "Star"]
+    assert {(r.vc_count, r.vc_Brand1, r.vc_Brand2) for r in rows} == {("2", "Club", None)}
