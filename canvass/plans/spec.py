@@ -221,3 +221,40 @@ def period_of(run_date: str) -> str:
 
 
 __all__ = ["Block", "Vector", "Section", "SurveySpec", "run_spec", "period_of", "QA", "GRID"]
+
+
+# --- SRC-8: job specs as JSON ---------------------------------------------------
+
+def spec_to_dict(spec: SurveySpec) -> dict:
+    from dataclasses import asdict
+
+    return asdict(spec)
+
+
+def spec_from_dict(d: dict) -> SurveySpec:
+    """Inverse of ``spec_to_dict`` (lists from JSON become tuples again)."""
+    def tup(x):
+        return tuple(tup(i) for i in x) if isinstance(x, list) else x
+
+    d = dict(d)
+    d["blocks"] = tuple(Block(**{k: tup(v) for k, v in b.items()}) for b in d["blocks"])
+    if d.get("vector"):
+        d["vector"] = Vector(**{k: tup(v) for k, v in d["vector"].items()})
+    if d.get("section"):
+        d["section"] = Section(**d["section"])
+    for k in ("header", "gps", "explode", "fill_first", "strip_paren", "sku_metric"):
+        if d.get(k) is not None:
+            d[k] = tup(d[k])
+    return SurveySpec(**d)
+
+
+def specs_to_json(specs) -> str:
+    import json
+
+    return json.dumps([spec_to_dict(s) for s in specs], ensure_ascii=False, indent=1)
+
+
+def specs_from_json(text: str) -> tuple[SurveySpec, ...]:
+    import json
+
+    return tuple(spec_from_dict(d) for d in json.loads(text))

@@ -194,3 +194,9 @@ def test_d10_prefix_only_in_question_block(spark):
     rows = run_spec(BY_ID["D10"], _answers(spark, _doc(HDR[:2], body))).collect()
     assert sorted(r.brand_type for r in rows) == ["Club", "Star"]
     assert {(r.vc_count, r.vc_Brand1, r.vc_Brand2) for r in rows} == {("2", "Club", None)}
+
+
+def test_specs_json_round_trip():
+    from canvass.plans.spec import specs_from_json, specs_to_json
+
+    assert specs_from_json(specs_to_json(SPECS)) == SPECS
