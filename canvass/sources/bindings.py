@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..schema import ANSWER, QUESTION
 from ..operators.ordered import block_span
-from .tables import read_table
+from .tables import read_table, table_path
 
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 MICROS_PER_DAY = 86_400_000_000
@@ -95,12 +95,28 @@ def order_header_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.lit("text").alias("attribute"), "value"))
 
 
+FILE_SHIFT = 40   # positions per file: up to ~7.8e10 lines of 14 rows each
+
+
+def _normalise_path(c):
+    # listing and scan spell URIs differently ('file:///x' vs 'file:/x')
+    return F.regexp_replace(c, r"^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def file_numbers(spark: SparkSession, path: str) -> DataFrame:
+    """(normalised file path, file number) for every file of a table, from the
+    file listing (metadata only, one row per file -- a proven bound)."""
+    files = sorted(spark.read.parquet(path).inputFiles())
+    df = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "fp string, file_no long")
+    return df.select(_normalise_path(F.col("fp")).alias("__fp"), "file_no")
+
+
 def lineitem_stream(spark: SparkSession, sf_dir: str, with_header: bool = False) -> DataFrame:
     """Each order is an interview; each line item a repeated record.
 
     Line rows: ``FullVariable = I_<linenumber>_<var>`` followed by its
     ``QuestionAnswer`` (omitted when the cell is null = unanswered). The line's
-    position in its file (``_metadata.row_index``) orders lines inside an order.
+    position (file number, row in file) orders lines inside an order.
 
     The narrow line rows are hash-partitioned on ``(subject_id, block)`` BEFORE
     the 14-way explode: the explode runs in parallel whatever the file layout,
@@ -112,8 +128,13 @@ def lineitem_stream(spark: SparkSession, sf_dir: str, with_header: bool = False)
     span = block_span(spark)
     n = len(LINE_VARIABLES)
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber",
-                    *[c for c in LINE_VARIABLES], "_metadata.row_index")
-    base = F.lit(HEADER_ROWS) + F.col("row_index") * F.lit(2 * n)
+                    *[c for c in LINE_VARIABLES], "_metadata.row_index", "_metadata.file_path")
+    # a line's position = (file number, row in file): unique even when the
+    # lines of one order sit in several files
+    li = li.join(F.broadcast(file_numbers(spark, table_path(sf_dir, "lineitem"))),
+                 _normalise_path(F.col("file_path")) == F.col("__fp")).drop("__fp", "file_path")
+    base = (F.lit(HEADER_ROWS) + F.col("file_no") * F.lit(1 << FILE_SHIFT)
+            + F.col("row_index") * F.lit(2 * n))
     li = li.select(F.col("l_orderkey").alias("subject_id"),
                    F.floor(base / F.lit(span)).cast("long").alias("block"),
                    base.alias("__base"), *[F.col(c) for c in ["l_linenumber", *LINE_VARIABLES]])
