@@ -98,7 +98,7 @@ def order_header_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 FILE_SHIFT = 40   # positions per file: up to ~7.8e10 lines of 14 rows each
 
 
-def _normalise_path(c):
+def normalise_path(c):
     # listing and scan spell URIs differently ('file:///x' vs 'file:/x')
     return F.regexp_replace(c, r"^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
@@ -108,7 +108,7 @@ def file_numbers(spark: SparkSession, path: str) -> DataFrame:
     file listing (metadata only, one row per file -- a proven bound)."""
     files = sorted(spark.read.parquet(path).inputFiles())
     df = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "fp string, file_no long")
-    return df.select(_normalise_path(F.col("fp")).alias("__fp"), "file_no")
+    return df.select(normalise_path(F.col("fp")).alias("__fp"), "file_no")
 
 
 def lineitem_stream(spark: SparkSession, sf_dir: str, with_header: bool = False) -> DataFrame:
@@ -132,7 +132,7 @@ def lineitem_stream(spark: SparkSession, sf_dir: str, with_header: bool = False)
     # a line's position = (file number, row in file): unique even when the
     # lines of one order sit in several files
     li = li.join(F.broadcast(file_numbers(spark, table_path(sf_dir, "lineitem"))),
-                 _normalise_path(F.col("file_path")) == F.col("__fp")).drop("__fp", "file_path")
+                 normalise_path(F.col("file_path")) == F.col("__fp")).drop("__fp", "file_path")
     base = (F.lit(HEADER_ROWS) + F.col("file_no") * F.lit(1 << FILE_SHIFT)
             + F.col("row_index") * F.lit(2 * n))
     li = li.select(F.col("l_orderkey").alias("subject_id"),
