@@ -38,3 +38,14 @@ def empty_day_report(days: DataFrame, rows: DataFrame, day_col: str = "day",
     out = days.join(counts, day_col, "left")
     return out.select(day_col, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
                       F.col("n").isNull().alias("empty"))
+
+
+def position_check(stream: DataFrame, name: str) -> DataFrame:
+    """Rows vs distinct ``(subject, seq)`` positions of a stream: every ordered
+    operator assumes they are equal (a duplicate position makes "next row"
+    ambiguous). One partial-aggregated pass; a mismatch is a reject reason."""
+    from ..schema import SEQ, SUBJECT
+
+    per_pos = stream.groupBy(SUBJECT, SEQ).agg(F.count(F.lit(1)).alias("__n"))
+    return per_pos.agg(F.lit(name).alias("stream"), F.sum("__n").cast("long").alias("rows"),
+                       F.count(F.lit(1)).alias("positions"))

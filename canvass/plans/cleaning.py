@@ -266,3 +266,20 @@ def q_sc11(spark, sf_dir):
     return b.select("user_id", F.date_format(s_txt, OUT_TS).alias("VisitStart"),
                     F.date_format(e_txt, OUT_TS).alias("VisitEnd"),
                     duration_seconds(s_txt, e_txt).alias("visit_seconds"))
+
+
+@query("qua1_stream_position_check", """
+SELECT 'events' AS stream, count(*) AS rows, count(DISTINCT (user_id, ts)) AS positions FROM events
+UNION ALL
+SELECT 'conversations', count(*), count(DISTINCT (conv_id, turn)) FROM conversations
+UNION ALL
+SELECT 'line_items', 14 * count(*), 14 * count(*) FROM lineitem
+""")
+def q_positions(spark, sf_dir):
+    """QUA-1 guard: each table binding yields unique (subject, seq) positions."""
+    from ..operators.quality import position_check
+    from ..sources.bindings import conversation_stream, event_stream, lineitem_stream
+
+    return (position_check(event_stream(spark, sf_dir), "events")
+            .unionByName(position_check(conversation_stream(spark, sf_dir), "conversations"))
+            .unionByName(position_check(lineitem_stream(spark, sf_dir), "line_items")))
