@@ -101,7 +101,7 @@ def read_landing(spark: SparkSession, path: str, *, subject_from: str = "file")
     (partition folders such as ``upload_date=...`` become columns). The
     subject id is the file's base name without extension."""
     df = spark.read.option("wholetext", True).text(path)
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[^./]*)?$", 1)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+?)(\.[^.]*)?$", 1)
     return df.select(name.cast("long").alias("subject_id"), F.col("value").alias("xml"),
                      *[c for c in df.columns if c != "value"])
 
