@@ -482,3 +482,54 @@ def q_d41(spark, sf_dir):
                       "Direction", *[F.col(f"`{c}`") for c in
                                      ["GPS_Latitude", "GPS_Longitude", "GPS_Date", "GPS_Altitude",
                                       "GPS_Bearing", "GPS_Speed (km/h)"]])
+
+
+def outlet_interviews(spark, sf_dir):
+    """One outlet-recruitment interview per customer: loop-prefixed country
+    question, an unanswered contact, a strict GPS address (odd customers lack
+    the bearing line) and the loop counter 'iterindex'."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    t = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)              # 25 rows, bounded
+    k = F.col("c_custkey")
+    ts = F.lit("2024-06-07T08:09:10Z")
+    header = {"SubjectNum": k, "Upload": ts, "VisitStart": ts, "VisitEnd": ts, "ClientDuration": F.lit("00:30"),
+              "Date": ts, "SurveyorName": F.concat(F.lit("S"), F.col("c_nationkey").cast("string"))}
+    gps = F.concat(F.lit("Latitude: 1 2' 3.0 N (1.0)\nLongitude: 4 5' W (-4.1)\nCaptured at: 2024-06-07 08:00:00\n"),
+                   F.lit("Altitude: "), (k % 90).cast("string"), F.lit("\n"),
+                   F.when(k % 2 == 0, F.lit("Bearing: 7.5\n")).otherwise(F.lit("")), F.lit("Speed: 3 km/h"))
+    parts = [
+        question("I_1_country_name", F.col("n_name")),
+        question("city", F.concat(F.lit("City "), F.col("c_nationkey").cast("string"))),
+        question("outlet_code", k),
+        question("outlet_name", F.col("c_name")),
+        question("contact", None),
+        question("address", gps),
+        question("iterindex", k % 5),
+    ]
+    return _spread(t.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d38_recruit_profile_from_xml", """
+SELECT c_custkey AS subject_id, CAST(c_custkey AS VARCHAR) AS SubjectNum, 'S' || c_nationkey AS SurveyorName,
+       '00:30' AS NetDuration, n_name AS country_name, 'City ' || c_nationkey AS city,
+       CAST(c_custkey AS VARCHAR) AS outlet_code, c_name AS outlet_name, 'address' AS contact,
+       CAST(c_custkey % 5 AS VARCHAR) AS item_count, CAST(NULL AS VARCHAR) AS landmark,
+       CASE WHEN c_custkey % 2 = 0 THEN '1 2'' 3.0 N' END AS GPS_Latitude,
+       CASE WHEN c_custkey % 2 = 0 THEN '4 5'' W' END AS GPS_Longitude,
+       CASE WHEN c_custkey % 2 = 0 THEN '2024-06-07 08:00:00' END AS GPS_Date,
+       CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey % 90 AS VARCHAR) END AS GPS_Altitude,
+       CASE WHEN c_custkey % 2 = 0 THEN '7.5' END AS GPS_Bearing,
+       CASE WHEN c_custkey % 2 = 0 THEN '3' END AS "GPS_Speed (km/h)"
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+""")
+def q_d38(spark, sf_dir):
+    """D38 end to end: SC-5 before a loose lookup (an unanswered contact yields
+    the next question's name), PRJ-2 iterindex -> item_count, strict GPS, a
+    seven-element header."""
+    answers = materialize_stream(documents_to_stream(outlet_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D38"], answers)
+    return out.select(SUBJECT, "SubjectNum", "SurveyorName", "NetDuration", "country_name", "city",
+                      "outlet_code", "outlet_name", "contact", "item_count", "landmark",
+                      *[F.col(f"`{c}`") for c in ["GPS_Latitude", "GPS_Longitude", "GPS_Date",
+                                                  "GPS_Altitude", "GPS_Bearing", "GPS_Speed (km/h)"]])
