@@ -533,3 +533,51 @@ def q_d38(spark, sf_dir):
                       "outlet_code", "outlet_name", "contact", "item_count", "landmark",
                       *[F.col(f"`{c}`") for c in ["GPS_Latitude", "GPS_Longitude", "GPS_Date",
                                                   "GPS_Altitude", "GPS_Bearing", "GPS_Speed (km/h)"]])
+
+
+def salon_interviews(spark, sf_dir):
+    """One salon census interview per part: category and wet/dry segment
+    answers (questions with no cell are not asked at all)."""
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    k = F.col("p_partkey")
+    cat = (F.when(F.col("p_size") % 3 == 0, F.lit("Wet, Dry Hair"))
+           .when(F.col("p_size") % 3 == 1, F.concat("p_type", F.lit(", Wet"))))
+    wet = F.when(F.col("p_size") % 2 == 0, F.regexp_replace("p_name", " ", ", "))
+    dry = F.when(F.col("p_size") % 5 != 0, F.col("p_brand"))
+    ts = F.lit("2024-07-01T10:00:00Z")
+    header = {"SubjectNum": k, "Upload": ts, "Date": ts}
+    asked = lambda name, v: F.when(v.isNotNull(), question(name, v))
+    parts = [question("Outlet_code", k), asked("Category", cat), asked("segment_wet", wet),
+             asked("segment_dry", dry)]
+    return _spread(p.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d07_category_segments_from_xml", """
+WITH t AS (SELECT p_partkey,
+                  CASE WHEN p_size % 3 = 0 THEN 'Wet, Dry Hair'
+                       WHEN p_size % 3 = 1 THEN p_type || ', Wet' END AS Category,
+                  CASE WHEN p_size % 2 = 0 THEN replace(p_name, ' ', ', ') END AS segment_wet,
+                  CASE WHEN p_size % 5 <> 0 THEN p_brand END AS segment_dry
+           FROM part),
+l AS (SELECT p_partkey,
+             CASE WHEN Category IS NULL THEN [''] ELSE list_transform(string_split(Category, ','), lambda x: trim(x)) END AS cats,
+             CASE WHEN segment_wet IS NULL THEN [''] ELSE list_transform(string_split(segment_wet, ','), lambda x: trim(x)) END AS wets,
+             CASE WHEN segment_dry IS NULL THEN [''] ELSE list_transform(string_split(segment_dry, ','), lambda x: trim(x)) END AS drys,
+             coalesce(list_sort(list_transform(string_split(Category, ','), lambda x: lower(trim(x))))
+                      = ['dry hair', 'wet'], false) AS combo
+      FROM t),
+r AS (
+  SELECT p_partkey, 'Wet' AS Category, w AS segment_wet, '' AS segment_dry FROM l, unnest(wets) AS u(w) WHERE combo
+  UNION ALL SELECT p_partkey, 'Dry Hair', '', d FROM l, unnest(drys) AS u(d) WHERE combo
+  UNION ALL SELECT p_partkey, c, w, '' FROM l, unnest(cats) AS a(c), unnest(wets) AS u(w) WHERE NOT combo
+  UNION ALL SELECT p_partkey, c, '', d FROM l, unnest(cats) AS a(c), unnest(drys) AS u(d) WHERE NOT combo)
+SELECT p_partkey AS subject_id, CAST(p_partkey AS VARCHAR) AS SubjectNum, CAST(p_partkey AS VARCHAR) AS Outlet_code,
+       Category, segment_wet, segment_dry
+FROM r WHERE NOT (coalesce(segment_wet, '') = '' AND coalesce(segment_dry, '') = '')
+""")
+def q_d07(spark, sf_dir):
+    """D07 end to end: loose lookups, then EX-4 (the wet + dry-hair pair rule,
+    per-category rows otherwise) and FIL-6 inside the spec interpreter."""
+    answers = materialize_stream(documents_to_stream(salon_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D07"], answers)
+    return out.select(SUBJECT, "SubjectNum", "Outlet_code", "Category", "segment_wet", "segment_dry")
