@@ -581,3 +581,49 @@ def q_d07(spark, sf_dir):
     answers = materialize_stream(documents_to_stream(salon_interviews(spark, sf_dir)))
     out = run_spec(BY_ID["D07"], answers)
     return out.select(SUBJECT, "SubjectNum", "Outlet_code", "Category", "segment_wet", "segment_dry")
+
+
+def census_interviews(spark, sf_dir):
+    """One salon census interview per customer: outlet code, a GPS text (the
+    DMS layout; every fifth without the optional lines) and an extra-category
+    multi-select with spaces after the commas."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    k = F.col("c_custkey")
+    ts = F.lit("2024-08-01T12:00:00Z")
+    header = {"SubjectNum": k, "Date": ts, "Upload": ts}
+    parts = [question("Outlet_code", k),
+             question("GPS", _gps_text(k, F.col("c_nationkey"))),
+             question("category_extra", F.concat(F.col("c_mktsegment"), F.lit(", Nails,  Spa")))]
+    return _spread(c.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d03_location_from_xml", """
+SELECT c_custkey AS subject_id, CAST(c_custkey AS VARCHAR) AS Outlet_code,
+       CAST(c_nationkey AS VARCHAR) || ' 12'' 30.5 N' AS GPS_Latitude,
+       CAST(c_custkey % 180 AS VARCHAR) || ' 10'' W' AS GPS_Longitude,
+       '2024-01-' || lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0') || ' 10:11:12' AS GPS_Date,
+       CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey % 100 AS VARCHAR) || '.0' END AS GPS_Altitude,
+       CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE '10.0' END AS GPS_Bearing,
+       CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE '1.5' END AS "GPS_Speed (km/h)"
+FROM customer
+""")
+def q_d03(spark, sf_dir):
+    """D03 end to end: loose lookup of the outlet code and the GPS text, parsed
+    into six parts (SC-4, CRLF normalised by the XML parser)."""
+    answers = materialize_stream(documents_to_stream(census_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D03"], answers)
+    return out.select(SUBJECT, "Outlet_code", *[F.col(f"`{c}`") for c in
+                                                ["GPS_Latitude", "GPS_Longitude", "GPS_Date", "GPS_Altitude",
+                                                 "GPS_Bearing", "GPS_Speed (km/h)"]])
+
+
+@query("d06_extra_category_from_xml", """
+SELECT c_custkey AS subject_id, CAST(c_custkey AS VARCHAR) AS Outlet_code, x AS category_extra
+FROM customer, unnest(string_split(c_mktsegment || ', Nails,  Spa', ',')) AS u(x)
+""")
+def q_d06(spark, sf_dir):
+    """D06 end to end: the extra-category answer split on ',' WITHOUT trimming
+    (EX-2): leading spaces stay in the options."""
+    answers = materialize_stream(documents_to_stream(census_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D06"], answers)
+    return out.select(SUBJECT, "Outlet_code", "category_extra")
