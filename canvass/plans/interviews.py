@@ -627,3 +627,66 @@ def q_d06(spark, sf_dir):
     answers = materialize_stream(documents_to_stream(census_interviews(spark, sf_dir)))
     out = run_spec(BY_ID["D06"], answers)
     return out.select(SUBJECT, "Outlet_code", "category_extra")
+
+
+def availability_interviews(spark, sf_dir):
+    """One product-availability interview per order: two SKU loops (I_1_, I_2_)
+    each opened by the first SKU's availability question."""
+    from .catalog import MSD_SKUS
+
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    k = F.col("o_orderkey")
+    header = {"SubjectNum": k, "Upload": F.lit("2024-09-01T06:00:00Z")}
+    first, other = MSD_SKUS[0] + "_Visit_Availability", MSD_SKUS[5] + "_Visit_Availability"
+    parts = [question(f"I_1_{first}", F.col("o_orderstatus")),
+             question(f"I_1_{other}", F.col("o_orderpriority")),
+             question(f"I_2_{first}", F.lit("Yes")),
+             F.when(k % 2 == 0, question(f"I_2_{other}", None))]        # unanswered -> NULL (strict)
+    return _spread(o.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d11_availability_from_xml", """
+SELECT o_orderkey AS subject_id, CAST(1 AS BIGINT) AS rec, o_orderstatus AS first_sku, o_orderpriority AS other_sku
+FROM orders
+UNION ALL
+SELECT o_orderkey, CAST(2 AS BIGINT), 'Yes', NULL FROM orders
+""")
+def q_d11(spark, sf_dir):
+    """D11 end to end: loop prefixes stripped, records opened by the first
+    SKU's question (GRP-1), strict answers, header pairs beside every record."""
+    from .catalog import MSD_SKUS
+
+    answers = materialize_stream(documents_to_stream(availability_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D11"], answers)
+    return out.select(SUBJECT, "rec", F.col(f"`{MSD_SKUS[0]}_Visit_Availability`").alias("first_sku"),
+                      F.col(f"`{MSD_SKUS[5]}_Visit_Availability`").alias("other_sku"))
+
+
+def consumer_interviews(spark, sf_dir):
+    """One consumer-recruitment interview per customer: profile questions and
+    a product-category grid opened by 'Toothpaste'."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    k = F.col("c_custkey")
+    ts = F.lit("2024-10-01T09:00:00Z")
+    header = {"SubjectNum": k, "Upload": ts, "VisitStart": ts, "VisitEnd": ts,
+              "ClientDuration": F.lit("00:20"), "Date": ts}
+    parts = [question("surveyor", F.col("c_name")), question("city", F.col("c_nationkey")),
+             question("income", F.col("c_mktsegment")),
+             grid("Toothpaste", F.lit("Daily")), grid("Food Seasoning", F.col("c_mktsegment")),
+             F.when(k % 3 == 0, grid("Toothpaste", F.lit("Weekly")))]
+    return _spread(c.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d24_consumer_profile_from_xml", """
+SELECT c_custkey AS subject_id, CAST(1 AS BIGINT) AS rec, c_name AS surveyor, CAST(c_nationkey AS VARCHAR) AS city,
+       c_mktsegment AS income, 'Daily' AS Toothpaste, c_mktsegment AS "Food Seasoning"
+FROM customer
+UNION ALL
+SELECT c_custkey, CAST(2 AS BIGINT), NULL, NULL, NULL, 'Weekly', NULL FROM customer WHERE c_custkey % 3 = 0
+""")
+def q_d24(spark, sf_dir):
+    """D24 end to end: loose profile lookups (on the first record only)
+    beside grid records opened by the 'Toothpaste' sentinel."""
+    answers = materialize_stream(documents_to_stream(consumer_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D24"], answers)
+    return out.select(SUBJECT, "rec", "surveyor", "city", "income", "Toothpaste", "`Food Seasoning`")
