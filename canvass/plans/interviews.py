@@ -690,3 +690,34 @@ def q_d24(spark, sf_dir):
     answers = materialize_stream(documents_to_stream(consumer_interviews(spark, sf_dir)))
     out = run_spec(BY_ID["D24"], answers)
     return out.select(SUBJECT, "rec", "surveyor", "city", "income", "Toothpaste", "`Food Seasoning`")
+
+
+def media_interviews(spark, sf_dir):
+    """One media-habits interview per customer: reach channel, radio and TV
+    multi-selects, then a grid of channels opened by 'TV' (two records for
+    every fourth customer)."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment", "c_nationkey")
+    k = F.col("c_custkey")
+    ts = F.lit("2024-11-01T09:00:00Z")
+    header = {"SubjectNum": k, "Upload": ts, "Date": ts}
+    parts = [question("channel_for_reach", F.col("c_mktsegment")),
+             question("radio_stations", F.concat(F.lit("R"), (k % 3).cast("string"), F.lit(", R9"))),
+             question("tv_stations", F.when(k % 2 == 0, F.lit("T1, , T2")).otherwise(F.lit("T1"))),
+             grid("TV", F.lit("Often")), grid("Radio", (k % 7).cast("string")),
+             F.when(k % 4 == 0, grid("TV", F.lit("Never")))]
+    return _spread(c.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d16_media_from_xml", """
+SELECT c_custkey AS subject_id, c_mktsegment AS channel_for_reach, r AS radio_stations, t AS tv_stations,
+       'Often' AS TV, CAST(c_custkey % 7 AS VARCHAR) AS Radio
+FROM customer, unnest(['R' || (c_custkey % 3), 'R9']) AS a(r),
+     unnest(CASE WHEN c_custkey % 2 = 0 THEN ['T1', 'T2'] ELSE ['T1'] END) AS b(t)
+""")
+def q_d16(spark, sf_dir):
+    """D16 end to end: lookups zipped beside grid records (cells on record 1
+    only), EX-1 over two multi-selects (row product, blank option dropped);
+    later records have only NULL explode cells and drop out (FIL-7)."""
+    answers = materialize_stream(documents_to_stream(media_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D16"], answers)
+    return out.select(SUBJECT, "channel_for_reach", "radio_stations", "tv_stations", "TV", "Radio")
