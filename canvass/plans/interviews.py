@@ -721,3 +721,30 @@ def q_d16(spark, sf_dir):
     answers = materialize_stream(documents_to_stream(media_interviews(spark, sf_dir)))
     out = run_spec(BY_ID["D16"], answers)
     return out.select(SUBJECT, "channel_for_reach", "radio_stations", "tv_stations", "TV", "Radio")
+
+
+def bike_interviews(spark, sf_dir):
+    """One brand-description interview per supplier: a grid of bike brands;
+    'Boxer.' is asked twice (the later answer wins), 'Sanya.' is unanswered."""
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    k = F.col("s_suppkey")
+    header = {"SubjectNum": k, "Upload": F.lit("2024-12-01T09:00:00Z")}
+    parts = [grid("Boxer.", F.lit("first")), grid("Honda.", F.col("s_name")),
+             grid("Sanya.", None), grid("Boxer.", (k % 10).cast("string"))]
+    return _spread(s.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d33_brand_description_from_xml", """
+SELECT s_suppkey AS subject_id, CAST(1 AS BIGINT) AS rec, CAST(s_suppkey AS VARCHAR) AS SubjectNum,
+       CAST(s_suppkey % 10 AS VARCHAR) AS boxer, s_name AS honda, CAST(NULL AS VARCHAR) AS sanya,
+       CAST(NULL AS VARCHAR) AS yamaha
+FROM supplier
+""")
+def q_d33(spark, sf_dir):
+    """D33 end to end: a sentinel that never fires gives one record (GRP-2);
+    a repeated label keeps its LAST answer; an unanswered label is NULL."""
+    answers = materialize_stream(documents_to_stream(bike_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D33"], answers)
+    return out.select(SUBJECT, "rec", "SubjectNum", F.col("`Boxer.`").alias("boxer"),
+                      F.col("`Honda.`").alias("honda"), F.col("`Sanya.`").alias("sanya"),
+                      F.col("`Yamaha.`").alias("yamaha"))
