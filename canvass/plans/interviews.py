@@ -748,3 +748,31 @@ def q_d33(spark, sf_dir):
     return out.select(SUBJECT, "rec", "SubjectNum", F.col("`Boxer.`").alias("boxer"),
                       F.col("`Honda.`").alias("honda"), F.col("`Sanya.`").alias("sanya"),
                       F.col("`Yamaha.`").alias("yamaha"))
+
+
+def sales_interviews(spark, sf_dir):
+    """One product-sales interview per order: two item loops where the record
+    sentinel ('Stock') is the THIRD question of an item."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey")
+    k = F.col("o_orderkey")
+    header = {"SubjectNum": k, "Upload": F.lit("2024-12-24T10:00:00Z")}
+    parts = [question("I_1_product_name", F.lit("p1")), question("I_1_item_name", F.col("o_orderstatus")),
+             question("I_1_Stock", F.lit("10")), question("I_1_Price", F.col("o_custkey")),
+             question("I_2_product_name", F.lit("p2")), question("I_2_item_name", F.col("o_orderpriority")),
+             question("I_2_Stock", F.lit("20"))]
+    return _spread(o.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d21_product_sales_from_xml", """
+SELECT o_orderkey AS subject_id, CAST(1 AS BIGINT) AS rec, 'p2' AS product_name, o_orderpriority AS item_name,
+       '10' AS Stock, CAST(o_custkey AS VARCHAR) AS Price FROM orders
+UNION ALL
+SELECT o_orderkey, CAST(2 AS BIGINT), NULL, NULL, '20', NULL FROM orders
+""")
+def q_d21(spark, sf_dir):
+    """D21 end to end: the sentinel is not the first question of an item, so
+    the next item's leading answers land in the PREVIOUS record (last wins),
+    exactly as the positional walk does."""
+    answers = materialize_stream(documents_to_stream(sales_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D21"], answers)
+    return out.select(SUBJECT, "rec", "product_name", "item_name", "Stock", "Price")
