@@ -776,3 +776,28 @@ def q_d21(spark, sf_dir):
     answers = materialize_stream(documents_to_stream(sales_interviews(spark, sf_dir)))
     out = run_spec(BY_ID["D21"], answers)
     return out.select(SUBJECT, "rec", "product_name", "item_name", "Stock", "Price")
+
+
+def detail_interviews(spark, sf_dir):
+    """One product-details interview per part: one item loop, then a closing
+    DONE item; the brand is left unanswered."""
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type")
+    k = F.col("p_partkey")
+    header = {"SubjectNum": k, "Upload": F.lit("2024-12-30T10:00:00Z")}
+    parts = [question("I_1_item_category", F.col("p_type")), question("I_1_item_name", F.col("p_name")),
+             question("I_1_item_brand", None), question("I_1_item_manufacturer", F.col("p_brand")),
+             question("I_2_item_category", F.lit("DONE"))]
+    return _spread(p.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
+
+
+@query("d22_product_details_from_xml", """
+SELECT p_partkey AS subject_id, p_type AS item_category, p_name AS item_name,
+       CAST(NULL AS VARCHAR) AS item_brand, p_brand AS item_manufacturer
+FROM part
+""")
+def q_d22(spark, sf_dir):
+    """D22 end to end: strict records opened by item_category (prefix
+    stripped), an unanswered question is NULL, the DONE record removed."""
+    answers = materialize_stream(documents_to_stream(detail_interviews(spark, sf_dir)))
+    out = run_spec(BY_ID["D22"], answers)
+    return out.select(SUBJECT, "item_category", "item_name", "item_brand", "item_manufacturer")
