@@ -3,13 +3,13 @@
 Only DataFrame expressions. Within a source every document expects target /
 source size copies; expected copies are prefix-summed in a fixed order, one random
 offset is added for each source, and a document is emitted once for every integer
-that its own interval crosses. The order goes by size class and then by size, so
+that its own interval crosses. The order goes by size to five binary digits, so
 that each stretch of the sum holds documents of about one size and a source's
 taken words stay close to its target.
 
-The prefix sum has two levels: blocks (source, size class, two digits of a digest)
-are summed on their own, and a block's start is the sum of the blocks before it.
-No task gets a whole source.
+The prefix sum has two levels: blocks (source, size to five digits, a digit of a
+digest) are summed on their own, and a block's start is the sum of the blocks
+before it. No task gets a whole source.
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ def mix_sources(docs: DataFrame, weights: list[int] = WEIGHTS, cap: int = CAP, s
                                      digest.alias("digest")))
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))
     sized = sized.withColumn("s", key).withColumn("class", F.length(F.bin("size"))) \
-        .withColumn("part", F.substring("digest", 1, 2))
+        .withColumn("part", F.concat(F.substring(F.bin("size"), 1, 5), F.substring("digest", 1, 1)))
     shares = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     expected = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * unit)).otherwise(0).cast("long")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), "s")), 1, 7), 16, 10).cast("long") * 4
@@ -107,7 +107,8 @@ rated AS (
          ('0x' || substr(md5('mix-1' || coalesce('=' || source, '-')), 1, 7))::BIGINT * 4 AS shift FROM shares),
 summed AS (
   SELECT d.*, r.source_size, r.target, r.expected,
-         r.shift + sum(r.expected) OVER (PARTITION BY d.source ORDER BY length(bin(d.size)), substr(digest, 1, 2), d.size,
+         r.shift + sum(r.expected) OVER (PARTITION BY d.source ORDER BY length(bin(d.size)),
+           substr(bin(d.size), 1, 5), substr(digest, 1, 1), d.size,
            digest, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
   FROM sized d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source),
 counted AS (
