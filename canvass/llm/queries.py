@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, license_scan, line_dedup, mixing, quality, simhash, suffix_dedup
+from . import chat_format, decontaminate, html_extract, license_scan, line_dedup, mixing, quality, simhash, suffix_dedup, \
+    url_filter
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir))
@@ -71,3 +77,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op7_license_scan"] = license_scan.oracle()
+
+
+@query
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
