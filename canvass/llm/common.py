@@ -44,10 +44,37 @@ def row_key(*cols: str) -> Column:
     return F.unhex(F.md5(F.concat_ws("|", *sizes, *parts)))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it none of df's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+SIEVE_BITS = 26           # a sieve is a bitmap of 8 MB, however many values it holds
+
+
+def sieve_of(values: DataFrame, column: str) -> np.ndarray:
+    """Bitmap over the top bits of a column of 64-bit hashes. At most 2^20 rows of 64
+    bits reach the driver, whatever the table's size, and tasks get 8 MB. It only
+    spares rows that cannot match in an exact join that follows; a full one lets all
+    pass."""
+    slot = F.shiftrightunsigned(F.col(column), 64 - SIEVE_BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+    rows = values.select(F.shiftright(slot, 6).cast("int").alias("at"), bit.alias("bit")) \
+        .groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
+    out = np.zeros(1 << (SIEVE_BITS - 6), np.uint64)
+    if rows:
+        at, bits = zip(*rows)
+        out[list(at)] = np.array(bits, np.int64).view(np.uint64)
+    return out
+
+
 # --- task side ----------------------------------------------------------------
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES,
@@ -153,6 +180,11 @@ class Rolling:
         return mix((self.sums[end] - self.sums[start]) * self.back[start])
 
 
+def in_sieve(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slot = hashes >> np.uint64(64 - SIEVE_BITS)
+    return ((bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
 def runs_of(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, length) of the runs of equal values."""
     if len(sorted_keys) == 0:

@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, alnum_table, lower_table, mix, row_key, shared_table, slices, table, text_bytes, word_spans
+from .common import Rolling, alnum_table, in_sieve, lower_table, mix, row_key, shared_table, sieve_of, slices, table, \
+    text_bytes, unused, word_spans
 
 MIN_TILE = 5              # words
 COVERAGE = 0.6            # of an item's words
-SIEVE_BITS = 26           # the sieve over the seeds is a bitmap of 8 MB, however many there are
 
 
 # --- words and seeds --------------------------------------------------------------
@@ -55,21 +55,6 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     [g[i:max(i, j - MIN_TILE + 1)].view(np.int64) for i, j in zip(at[:-1], at[1:])])
 
 
-def sieve_of(seeds: DataFrame) -> np.ndarray:
-    """Bitmap of the seeds' top bits: at most 2^20 rows of 64 bits reach the driver,
-    whatever the size of the benchmark. A full sieve lets everything pass to the
-    join, which is exact either way."""
-    slot = F.shiftrightunsigned(F.col("seed"), 64 - SIEVE_BITS)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
-    rows = seeds.select(F.shiftright(slot, 6).cast("int").alias("at"), bit.alias("bit")) \
-        .groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
-    out = np.zeros(1 << (SIEVE_BITS - 6), np.uint64)
-    if rows:
-        at, bits = zip(*rows)
-        out[list(at)] = np.array(bits, np.int64).view(np.uint64)
-    return out
-
-
 DOCS = pa.schema([("row", pa.binary()), ("doc_id", pa.int64()), ("words", pa.list_(pa.int64())),
                   ("seeds", pa.list_(pa.int64()))])
 
@@ -78,12 +63,10 @@ def _touched(sieve):
     """(row, doc_id, t) -> words and possible seeds of the texts that have any."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, lower, bits = alnum_table(), lower_table(), sieve.value
-        one = np.uint64(1)
         for b in slices(batches, "t"):
             w, doc = word_hashes(*text_bytes(b.column(2)), inside, lower)
             g = seed_hashes(w)
-            slot = g >> np.uint64(64 - SIEVE_BITS)
-            hit = ((bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & one).astype(bool)
+            hit = in_sieve(bits, g)
             hit &= doc[:len(g)] == doc[MIN_TILE - 1:][:len(g)]
             places = np.flatnonzero(hit)
             if not len(places):
@@ -175,7 +158,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = COVE
                          .mapInArrow(_items, "item_id long, item array<long>, seeds array<long>")
                          .withColumn("at", F.xxhash64("item_id", "item")).dropDuplicates(["item_id", "item"]))
     seeds = items.select("item_id", "at", F.size("item").alias("n"), F.explode("seeds").alias("seed"))
-    sieve = spark.sparkContext.broadcast(sieve_of(seeds))
+    sieve = spark.sparkContext.broadcast(sieve_of(seeds, "seed"))
     touched = shared_table(docs.select(row_key("doc_id", "text").alias("row"),
                                        F.col("doc_id").cast("long").alias("doc_id"),
                                        F.col("text").cast("string").alias("t"))
@@ -192,5 +175,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = COVE
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = COVERAGE) -> DataFrame:
     """``docs`` without the rows that cover a benchmark item; columns as in ``docs``."""
-    found = shared_table(contamination(docs, benchmark, threshold).select(F.col("row").alias("_row")).distinct())
-    return docs.withColumn("_row", row_key("doc_id", "text")).join(found, "_row", "left_anti").select(*docs.columns)
+    name = unused(docs, "_row")
+    found = shared_table(contamination(docs, benchmark, threshold).select(F.col("row").alias(name)).distinct())
+    return docs.withColumn(name, row_key("doc_id", "text")).join(found, name, "left_anti").select(*docs.columns)

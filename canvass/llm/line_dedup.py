@@ -1,19 +1,21 @@
 """Fuzzy line deduplication by MinHash.
 
-Lines are normalised (lower case, white space runs as one space); lines without a
-word are never touched. Character-shingle MinHash signatures are cut into bands;
+Lines are normalised (A-Z lower-cased, ASCII white space runs as one space); lines
+without a word are never touched. Character-shingle MinHash signatures are cut into bands;
 lines that share a band are candidates, verified by exact Jaccard similarity of
 their shingle sets; verified links form components, and one line of each
 component stays: the first by (doc_id, digest of the document, line number).
 
 What moves between machines is small: band values go through the shuffle packed
-in blobs with a 64-bit line number each, texts only once and only those of
-candidate lines go further.
+in blobs with a 64-bit line number each; texts and places only of lines that a
+sieve over the candidates and exact copies lets pass, before the exact joins.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, row_key, runs_of, shared_table, slices, table
+from .common import in_sieve, mix, row_key, runs_of, shared_table, sieve_of, slices, table, unused
 from .components import components
 
 SHINGLE = 6               # characters
@@ -33,12 +35,26 @@ FLUSH = 1 << 20           # band entries that a task packs at a time
 PARTS = 16                # blob groups for each shuffle partition
 
 
-def normal(line: str) -> str:
-    return " ".join(line.lower().split())
+ODD_SPACE = ("  ", "\t", "\r", "\x0b", "\x0c")
+SPACES = re.compile(r"[ \t\r\x0b\x0c]+")
+
+
+def normal_lines(text: str | None) -> list[str]:
+    """The normalised form of each line of a text (empty without a word)."""
+    if not text:
+        return []
+    text = text.encode().lower().decode()             # bytes: A-Z only
+    if any(s in text for s in ODD_SPACE):
+        text = SPACES.sub(" ", text)
+    return [x.strip(" ") for x in text.split("\n")]
 
 
 def line_key(line: str) -> bytes:
-    return hashlib.md5(line.encode("utf-8", "surrogatepass")).digest()
+    return hashlib.md5(line.encode()).digest()
+
+
+def numbers_of(keys: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(k[:8] for k in keys), np.uint64)
 
 
 def shingles(line: str, q: int = SHINGLE) -> set[str]:
@@ -46,6 +62,12 @@ def shingles(line: str, q: int = SHINGLE) -> set[str]:
     return {line[i:i + q] for i in range(max(1, len(line) - q + 1))}
 
 
+def code_points(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All characters of the lines, and each line's length and begin."""
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    return np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32), size, np.cumsum(size) - size
+
+
 # --- signatures -----------------------------------------------------------------
 
 def band_values(lines: list[str], bands: int = BANDS, rows: int = ROWS, q: int = SHINGLE) -> np.ndarray:
@@ -53,9 +75,7 @@ def band_values(lines: list[str], bands: int = BANDS, rows: int = ROWS, q: int =
     rng = np.random.default_rng(SEED)
     mult = rng.integers(0, 1 << 32, bands * rows, np.uint32) | np.uint32(1)
     plus = rng.integers(0, 1 << 32, bands * rows, np.uint32)
-    cp = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    size = np.fromiter(map(len, lines), np.int64, len(lines))
-    begin = np.cumsum(size) - size
+    cp, size, begin = code_points(lines)
     many = np.maximum(size - q + 1, 1)
     out = np.empty((len(lines), bands), np.uint64)
     lo, ends = 0, np.cumsum(many)
@@ -108,13 +128,20 @@ def _bands(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for b in slices(batches, "t"):
-            lines = list({n for t in b.column(0).to_pylist() if t for x in t.split("\n") if (n := normal(x))})
-            if not lines:
+            times = Counter(x for t in b.column(0).to_pylist() for x in normal_lines(t) if x)
+            if not times:
                 continue
+            lines, n = list(times), np.fromiter(times.values(), np.int64, len(times))
+            number = numbers_of([line_key(x) for x in lines])
             bands = band_values(lines)
             e = np.empty(bands.shape, ENTRY)
-            e["band"] = bands
-            e["line"] = np.frombuffer(b"".join(line_key(x)[:8] for x in lines), np.uint64)[:, None]
+            e["band"], e["line"] = bands, number[:, None]
+            # one band of each line's own: what comes up twice there is an exact copy
+            own = np.empty(len(lines) + int((n > 1).sum()), ENTRY)
+            own["line"] = np.concatenate([number, number[n > 1]])
+            own["band"] = mix(own["line"].copy())
+            held.append(own)
+            count += len(own)
             held.append(e.ravel())
             count += bands.size
             if count >= FLUSH:
@@ -126,20 +153,27 @@ def _bands(parts: int):
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blobs sorted by part -> (bucket, line) for the bands that two or more different
-    lines share. A bucket is named by its lines, so equal ones of several bands
-    fall together."""
-    schema = pa.schema([("bucket", pa.int64()), ("line", pa.int64())])
+    """Blobs sorted by part -> (bucket, number) for the bands that two or more different
+    lines share, and (null, number) for exact copies. A bucket is named by its lines,
+    so equal ones of several bands fall together."""
+    schema = pa.schema([("bucket", pa.int64()), ("number", pa.int64())])
 
     def found(blobs: list[bytes]):
-        e = np.unique(np.frombuffer(b"".join(blobs), ENTRY))    # by band, then line
-        at, n = runs_of(e["band"])
+        e = np.frombuffer(b"".join(blobs), ENTRY)
+        order = np.lexsort((e["line"], e["band"]))
+        band, line = e["band"][order], e["line"][order]
+        again = np.zeros(len(band), bool)
+        again[1:] = (band[1:] == band[:-1]) & (line[1:] == line[:-1])
+        copies = np.unique(line[again & (band == mix(line.copy()))])
+        if len(copies):
+            yield table(schema, pa.nulls(len(copies), pa.int64()), copies.view(np.int64))
+        band, line = band[~again], line[~again]
+        at, n = runs_of(band)
         many = n > 1
         if many.any():
-            e = e[np.repeat(many, n)]
-            at, n = runs_of(e["band"])
-            name = mix(np.add.reduceat(mix(e["line"].copy()), at) + n.astype(np.uint64))
-            yield table(schema, np.repeat(name, n).view(np.int64), e["line"].copy().view(np.int64))
+            line, n = line[np.repeat(many, n)], n[many]
+            name = mix(np.add.reduceat(mix(line.copy()), np.cumsum(n) - n) + n.astype(np.uint64))
+            yield table(schema, np.repeat(name, n).view(np.int64), line.view(np.int64))
 
     part, blobs = None, []
     for b in batches:
@@ -155,14 +189,24 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # --- verification -----------------------------------------------------------------
 
-def link_lines(keys: list, lines: list[str], similarity: float = SIMILARITY) -> list[tuple]:
+def shingle_sets(lines: list[str], q: int = SHINGLE) -> list[set]:
+    """The shingle sets, each shingle as a 64-bit hash."""
+    cp, size, begin = code_points(lines)
+    wide = np.append(cp, np.zeros(q, np.uint32)).astype(np.uint64)
+    h = np.zeros(len(cp), np.uint64)
+    for j in range(q):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + wide[j:j + len(h)] + np.uint64(1)
+    h = mix(h)
+    return [set(h[b:b + n - q + 1].tolist()) if n >= q else {x} for x, b, n in zip(lines, begin.tolist(), size.tolist())]
+
+
+def link_lines(keys: list, sets: list[set], similarity: float = SIMILARITY) -> list[tuple]:
     """Links that connect all lines of a bucket that are at least ``similarity`` alike
     (exact Jaccard over shingle sets). A line is compared with a part's members,
     those with most hits first, until one links it to that part."""
-    sets = [shingles(x) for x in lines]
     parts: list[list[list[int]]] = []                # of [hits, member]
     links = []
-    for i in sorted(range(len(lines)), key=lambda i: len(sets[i])):
+    for i in sorted(range(len(sets)), key=lambda i: len(sets[i])):
         a, own = sets[i], [[0, i]]
         rest = []
         for p in parts:
@@ -188,63 +232,77 @@ def link_lines(keys: list, lines: list[str], similarity: float = SIMILARITY) ->
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, key, line) sorted by bucket -> links (a, b)."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-    bucket, keys, lines = None, [], []
+    bucket, keys, sets = None, [], []
     out: list[tuple] = []
-    for batch in batches:
-        for g, k, x in zip(*(c.to_pylist() for c in batch.columns)):
+    for batch in slices(batches, "line"):
+        lines = batch.column(2).to_pylist()
+        for g, k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(lines)):
             if g != bucket:
                 if len(keys) > 1:
-                    out += link_lines(keys, lines)
-                bucket, keys, lines = g, [], []
+                    out += link_lines(keys, sets)
+                bucket, keys, sets = g, [], []
             keys.append(k)
-            lines.append(x)
+            sets.append(x)
         if out:
             yield table(schema, *map(list, zip(*out)))
             out = []
-    if len(keys) > 1 and (out := link_lines(keys, lines)):
+    if len(keys) > 1 and (out := link_lines(keys, sets)):
         yield table(schema, *map(list, zip(*out)))
 
 
 # --- Spark flow ---------------------------------------------------------------------
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(t) -> the different lines of a run of texts: number, key, line."""
+def _candidates(sieve):
+    """(t) -> number, key and form of the different lines in the sieve, for a run of texts."""
     schema = pa.schema([("number", pa.int64()), ("key", pa.binary()), ("line", pa.string())])
-    for b in slices(batches, "t"):
-        lines = list({n for t in b.column(0).to_pylist() if t for x in t.split("\n") if (n := normal(x))})
-        keys = [line_key(x) for x in lines]
-        yield table(schema, np.frombuffer(b"".join(k[:8] for k in keys), np.int64), keys, lines)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "t"):
+            lines = list({x for t in b.column(0).to_pylist() for x in normal_lines(t) if x})
+            keys = [line_key(x) for x in lines]
+            number = numbers_of(keys)
+            hit = np.flatnonzero(in_sieve(sieve.value, number))
+            yield table(schema, number[hit].view(np.int64), [keys[i] for i in hit], [lines[i] for i in hit])
+    return run
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, row, t) -> place and key of every line with a word."""
+
+def _places(sieve):
+    """(id, row, t) -> key and place of every line in the sieve."""
     schema = pa.schema([("key", pa.binary()), ("id", pa.int64()), ("row", pa.binary()), ("no", pa.int32())])
-    for b in slices(batches, "t"):
-        cols: tuple[list, ...] = ([], [], [], [])
-        for i, row, t in zip(*(c.to_pylist() for c in b.columns)):
-            for no, x in enumerate(t.split("\n") if t else ()):
-                if n := normal(x):
-                    for c, v in zip(cols, (line_key(n), i, row, no)):
-                        c.append(v)
-        yield table(schema, *cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "t"):
+            doc, no, keys = [], [], []
+            for d, t in enumerate(b.column(2).to_pylist()):
+                for i, x in enumerate(normal_lines(t)):
+                    if x:
+                        doc.append(d)
+                        no.append(i)
+                        keys.append(line_key(x))
+            hit = np.flatnonzero(in_sieve(sieve.value, numbers_of(keys)))
+            of = pa.array([doc[i] for i in hit], pa.int32())
+            yield table(schema, [keys[i] for i in hit], b.column(0).take(of), b.column(1).take(of), [no[i] for i in hit])
+    return run
 
 
 def duplicate_lines(docs: DataFrame) -> DataFrame:
     """``(row, no)`` of every line that goes; ``row`` is row_key(doc_id, text)."""
+    share = docs.sparkSession.sparkContext.broadcast
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * PARTS
     src = docs.select(F.col("doc_id").cast("long").alias("id"), row_key("doc_id", "text").alias("row"),
                       F.col("text").cast("string").alias("t"))
     buckets = shared_table(src.select("t").mapInArrow(_bands(parts), "part int, blob binary")
                            .repartition("part").sortWithinPartitions("part")
                            .mapInArrow(_buckets, "bucket long, number long").distinct())
-    # the one exchange of line texts; only candidates go on
-    once = shared_table(src.select("t").mapInArrow(_candidates, "number long, key binary, line string")
-                        .join(buckets.select("number").distinct(), "number", "left_semi").dropDuplicates(["key"]))
-    links = shared_table(buckets.join(once, "number").select("bucket", "key", "line")
+    near = buckets.where("bucket is not null")
+    once = shared_table(src.select("t")
+                        .mapInArrow(_candidates(share(sieve_of(near, "number"))), "number long, key binary, line string")
+                        .join(near.select("number").distinct(), "number", "left_semi").dropDuplicates(["key"]))
+    links = shared_table(near.join(once, "number").select("bucket", "key", "line")
                          .repartition("bucket").sortWithinPartitions("bucket", "key")
                          .mapInArrow(_verify, "a binary, b binary").distinct())
     roots = components(links).withColumnRenamed("node", "key")
-    places = shared_table(src.mapInArrow(_places, "key binary, id long, row binary, no int"))
+    places = shared_table(src.mapInArrow(_places(share(sieve_of(buckets, "number"))), "key binary, id long, row binary, no int"))
     rooted = places.join(roots, "key", "left").select(
         F.coalesce("root", "key").alias("root"),
         F.struct(F.col("id").isNull().alias("none"), "id", "row", "no").alias("place"))
@@ -272,16 +330,34 @@ def line_dedup(docs: DataFrame) -> DataFrame:
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
+def _drop_lines(text_at: int, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, schema.names[text_at]):
+            new = []
+            for t, gone in zip(b.column(text_at).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
+                if t is not None and gone:
+                    bad = set(gone)
+                    t = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in bad)
+                new.append(t)
+            yield table(schema, *(pa.array(new, schema.field(j).type) if j == text_at else b.column(j)
+                                  for j in range(len(schema))))
+    return run
+
+
 def remove_duplicate_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with those lines cut from its texts; columns as in ``docs``, and
     ``n_chars`` follows the text. A document keeps its row even if no line stays."""
-    keyed = docs.withColumn("_row", row_key("doc_id", "text"))
-    gone = _removed_lists(docs).select(F.col("row").alias("_row"), "removed")
-    lines = F.split(F.col("text"), "\n", -1)
-    # F.filter sees each line's number; a text without removed lines is left alone
-    cut = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("removed", i)), "\n")
-    out = keyed.join(gone, "_row", "left").withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(cut))
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    row, removed = unused(docs, "_row"), unused(docs, "_removed")
+    gone = _removed_lists(docs).select(F.col("row").alias(row), F.col("removed").alias(removed))
+    out = docs.withColumn(row, row_key("doc_id", "text")).join(gone, row, "left")
+    if "n_chars" in docs.columns:
+        # null for now where the text changes
+        out = out.withColumn("n_chars", F.when(F.col(removed).isNull(), F.col("n_chars")))
+    out = out.select(*docs.columns, removed).mapInArrow(
+        _drop_lines(docs.columns.index("text"), to_arrow_schema(docs.schema)), docs.schema)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(
-            F.char_length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.coalesce("n_chars", size))
+    return out
