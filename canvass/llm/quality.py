@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Rolling, lower_table, mix, powers, row_key, runs_of, shared_table, slices, space_table, table, \
-    text_bytes, word_spans
+    text_bytes, unused, word_spans
 
 # The symbols counted by n_symbols
 SYMBOLS = "#*$%&|<>"
@@ -211,9 +211,9 @@ def apply_quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame
     from pyspark.sql.pandas.types import to_arrow_schema
 
     judged = _judged(docs, limits)
-    verdict = judged.where("kept").groupBy("key").agg(F.first("gone").alias("_gone"))
-    keyed = docs.withColumn("_key", row_key("source", "text"))
-    kept = keyed.join(verdict, keyed["_key"] == verdict["key"]).select(*docs.columns, "_gone")
+    key, gone = unused(docs, "_key"), unused(docs, "_gone")
+    verdict = judged.where("kept").groupBy(F.col("key").alias(key)).agg(F.first("gone").alias(gone))
+    kept = docs.withColumn(key, row_key("source", "text")).join(verdict, key).select(*docs.columns, gone)
     schema = to_arrow_schema(docs.schema)
     out = kept.mapInArrow(_cut_lines(docs.columns.index("text"), schema), docs.schema)
     if "n_chars" in docs.columns:

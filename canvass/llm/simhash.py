@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_table, row_key, shared_table, slices, space_table, table, text_bytes, word_spans
+from .common import lower_table, row_key, shared_table, slices, space_table, table, text_bytes, unused, word_spans
 from .components import components
 
 SHINGLE = 3
@@ -281,7 +281,7 @@ def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
     smallest digest of all columns; of equal rows one)."""
     key = row_key(*docs.columns)
     groups = simhash_components(docs, shingle=shingle, max_bits=max_bits, tag=key)
+    name = unused(docs, "_key")
     best = groups.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "tag")).alias("w")) \
-        .select(F.col("w.tag").alias("_key"))
-    kept = docs.withColumn("_key", key).join(best, "_key")
-    return kept.dropDuplicates(["_key"]).select(*docs.columns)
+        .select(F.col("w.tag").alias(name))
+    return docs.withColumn(name, key).join(best, name).dropDuplicates([name]).select(*docs.columns)

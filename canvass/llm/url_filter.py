@@ -87,12 +87,13 @@ def grams(text: Column, kind: str, sizes: list[int] = SIZES, dim: int = DIM) ->
     chars = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
     n = F.char_length(text) + 2
 
-    def runs(k: int) -> Column:
-        bucket = lambda i: F.pmod(F.xxhash64(F.lit(kind), *(F.get(chars, i + j) for j in range(k))), F.lit(dim))
+    def runs(of: Column, k: int) -> Column:
+        bucket = lambda i: F.pmod(F.xxhash64(F.lit(kind), *(F.get(of, i + j) for j in range(k))), F.lit(dim))
         return F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: bucket(i).cast("int"))) \
             .otherwise(F.array().cast("array<int>"))
 
-    return F.concat(*map(runs, sizes))
+    # the outer transform names the array, so that it is made once and not for every run
+    return F.transform(F.array(chars), lambda of: F.concat(*(runs(of, k) for k in sizes)))[0]
 
 
 def train(labels: DataFrame, penalty: float = PENALTY, max_labels: int = MAX_LABELS) -> tuple[list[float], float]:
@@ -121,8 +122,9 @@ def score(weights: list[float], intercept: float) -> Column:
     table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
 
     def total(c: str) -> Column:
-        g = grams(F.col(c), c)
-        return F.aggregate(g, F.lit(0.0), lambda s, k: s + F.get(table, k)) / F.sqrt(F.greatest(F.size(g), F.lit(1)))
+        mean = lambda g: F.aggregate(g, F.lit(0.0), lambda s, k: s + F.get(table, k)) \
+            / F.sqrt(F.greatest(F.size(g), F.lit(1)))
+        return F.transform(F.array(grams(F.col(c), c)), mean)[0]
 
     return F.lit(intercept) + total("host") + total("path")
 
