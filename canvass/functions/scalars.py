@@ -11,6 +11,16 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters that a strip removes (all Unicode white space)
+WHITESPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+              "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
+def strip(c) -> Column:
+    """White space of any kind removed from both ends (``trim`` removes blanks only)."""
+    return F.btrim(_c(c), F.lit(WHITESPACE))
+
+
 # --- SC-1 / SC-2 / SC-3: survey timestamps -------------------------------------
 # The interview time format is "YYYY-MM-DDTHH:MM:SSZ"; parsing
 # deletes every "T" and "Z" and reads "%Y-%m-%d%H:%M:%S".
@@ -26,13 +36,13 @@ def parse_survey_ts(c) -> Column:
 def parse_optional_ts(c) -> Column:
     """SC-2: blank or null text is a legal null (VisitEnd)."""
     x = _c(c)
-    return F.when(F.trim(x) == "", F.lit(None).cast("timestamp")).otherwise(parse_survey_ts(x))
+    return F.when(strip(x) == "", F.lit(None).cast("timestamp")).otherwise(parse_survey_ts(x))
 
 
 def ts_parse_failed(c, optional: bool = False) -> Column:
     """True when a present value failed to parse (QUA-1 reason)."""
     x = _c(c)
-    present = x.isNotNull() & (F.trim(x) != "") if optional else F.lit(True)
+    present = x.isNotNull() & (strip(x) != "") if optional else F.lit(True)
     return present & parse_survey_ts(x).isNull()
 
 
@@ -147,11 +157,11 @@ def month_start_text(c) -> Column:
 
 def to_decimal(c, precision: int = 10, scale: int = 2) -> Column:
     """SC-10: load-time numeric cast; bad text gives NULL (counted by QUA)."""
-    return F.trim(_c(c)).try_cast(f"decimal({precision},{scale})")
+    return strip(c).try_cast(f"decimal({precision},{scale})")
 
 
 def to_int(c) -> Column:
-    return F.trim(_c(c)).try_cast("int")
+    return strip(c).try_cast("int")
 
 
 def contains_comma(c) -> Column:

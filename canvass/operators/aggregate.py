@@ -24,19 +24,17 @@ def distinct_list(df: DataFrame, key: str, value: str, order: str, *,
     Per key (NULL keys dropped): the count of distinct keys (always 1) and the
     distinct values joined in order of first appearance. Values are first
     reduced to ``(key, value, first position)`` -- a partial aggregate -- so the
-    list step only ever sees distinct values, never the raw rows of a hot key."""
+    list step only ever sees distinct values, never the raw rows of a hot key.
+    Two shuffles, no join: keys whose values are all NULL keep one NULL value
+    through the first step and get an empty list."""
     v = _q(value) if null_text is None else F.coalesce(_q(value).cast("string"), F.lit(null_text))
     base = df.filter(_q(key).isNotNull()).select(_q(key).alias(key), v.alias("__v"), _q(order).alias("__o"))
-    if null_text is None:
-        base = base.filter(F.col("__v").isNotNull())
     firsts = base.groupBy(key, "__v").agg(F.min("__o").alias("__o"))
     lists = firsts.groupBy(key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__o"), F.col("__v").cast("string").alias("__v")))),
-                                 lambda x: x["__v"]), joiner).alias(list_name))
-    # keys whose values are all NULL still appear, with an empty list
-    keys = df.filter(_q(key).isNotNull()).groupBy(key).agg(F.count_distinct(_q(key)).alias(count_name))
-    return keys.join(lists, key, "left").select(
-        key, count_name, F.coalesce(F.col(list_name), F.lit("")).alias(list_name))
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(
+            F.col("__v").isNotNull(), F.struct(F.col("__o"), F.col("__v").cast("string").alias("__v"))))),
+            lambda x: x["__v"]), joiner).alias(list_name))
+    return lists.select(key, F.lit(1).cast("long").alias(count_name), list_name)
 
 
 def respondents_per_value(df: DataFrame, group: Sequence[str], subject: str, *,

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import option_list, strip_loop_prefix
+from ..functions.scalars import option_list, strip, strip_loop_prefix
 from ..schema import (ANSWER, ELEMENT, GRID_ANSWER, QUESTION, SEQ, SUBJECT, VALUE)
 from .filters import element_filter, header_rows
 from .ordered import Scan, ordered_scan, with_ordinal
@@ -127,7 +127,7 @@ def vector_or_labels(slice_: DataFrame, labels: Sequence[str], *,
     the labels; without such a value, LK-4 over the slice's label/answer rows."""
     has_comma = (F.col(ELEMENT) == answer_element) & F.coalesce(F.col(VALUE).contains(","), F.lit(False))
     vec = slice_.groupBy(SUBJECT).agg(F.min_by(F.col(VALUE), F.when(has_comma, F.col(SEQ))).alias("__vec"))
-    parts = F.transform(F.split(F.col("__vec"), ","), lambda x: F.trim(x))
+    parts = F.transform(F.split(F.col("__vec"), ","), lambda x: strip(x))
     vec = vec.select(SUBJECT, "__vec", *[F.coalesce(F.get(parts, i), F.lit("")).alias(f"__v{i}")
                                           for i in range(len(labels))])
     pairs = element_filter(slice_, [answer_element, label_element])
@@ -149,7 +149,7 @@ def first_per_subject(df: DataFrame, value: str, order: str = SEQ, out: str | No
 def option_sets_equal(c: Column | str, options: Sequence[str], sep: str = ",") -> Column:
     """SRT-1: case-folded, sorted option list equals ``options`` (duplicates count)."""
     x = F.col(c) if isinstance(c, str) else c
-    got = F.array_sort(F.transform(F.split(x, sep), lambda v: F.lower(F.trim(v))))
+    got = F.array_sort(F.transform(F.split(x, sep), lambda v: F.lower(strip(v))))
     want = F.array(*[F.lit(o) for o in sorted(o.lower() for o in options)])
     return F.coalesce(got == want, F.lit(False))
 

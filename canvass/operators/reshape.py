@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import _regex_literal, option_list
+from ..functions.scalars import _regex_literal, option_list, strip
 from ..schema import SEQ, SUBJECT
 from .filters import drop_all_null
 from .ordered import with_ordinal
@@ -43,7 +43,7 @@ def explode_then_trim(df: DataFrame, column: str, sep: str = ",", null_text: str
     src = _q(column) if null_text is None else F.coalesce(_q(column), F.lit(null_text))
     out = df.select(*[F.explode_outer(F.split(src, _regex_literal(sep))).alias(c) if c == column
                       else _q(c) for c in df.columns])
-    return out.withColumn(column, F.trim(_q(column)))
+    return out.withColumn(column, strip(_q(column)))
 
 
 # The wet/dry category pair of the hair-salon census.
@@ -62,7 +62,7 @@ def expand_categories(df: DataFrame, category: str = "Category", wet: str = "seg
 
     def parts(c):
         return F.when(_q(c).isNull(), F.array(F.lit(""))).otherwise(
-            F.transform(F.split(_q(c), ","), lambda x: F.trim(x)))
+            F.transform(F.split(_q(c), ","), lambda x: strip(x)))
 
     def rows(cat, wets, drys):
         return F.concat(

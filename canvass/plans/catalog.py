@@ -5,12 +5,14 @@ questionnaires for right results: header tags, variable names (exact text,
 including typographic apostrophes and trailing dots), sentinels, explode
 columns and separators. Decisions on the known defects of the original jobs (SURVEY 2.L):
 dead sentinels are declared ``None`` (X5), the two fused statements of D19
-are kept fused for parity (X6), loose lookups stay loose where the dataset
+are split, 19 labels (X6), loose lookups stay loose where the dataset
 used them (X2), GPS speed uses the fixed layout unless noted (X3).
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from .spec import GRID, QA, Block, Section, SurveySpec, Vector
 
 H2 = ("SubjectNum", "Upload")
@@ -66,7 +68,8 @@ D19_STATEMENTS = ("This brand’s tanks are strong and durable.",
                   "The tank materials are safe for storing drinking water.",
                   "The installation process is easy and hassle-free.",
                   "This brand has good warranty and after-sales support.",
-                  "The tanks are less likely to leak or crack.They have wide availability in shops near me.",
+                  "The tanks are less likely to leak or crack.",
+                  "They have wide availability in shops near me.",
                   "A brand I can trust for my family’s well-being.",
                   "It feels modern and innovative.",
                   "It is a brand that keeps its promises.",
@@ -74,7 +77,8 @@ D19_STATEMENTS = ("This brand’s tanks are strong and durable.",
                   "The design of the tank is attractive.",
                   "The brand’s logo and markings make it easy to identify.",
                   "I can identify the brand easily from a distance",
-                  "This brand is better than most alternatives.Brand I trust")
+                  "This brand is better than most alternatives.",
+                  "Brand I trust")
 
 D23_STATEMENTS = ("You enjoyed watching it a lot", "It’s a bit difficult to understand",
                   "The points made were relevant to you", "The points made were believable",
@@ -285,4 +289,9 @@ SPECS: tuple[SurveySpec, ...] = (
                strip_paren=("item_name",), rename={"scan": "item_barcode"}),
 )
 
+# Datasets that put records beside one-row parts (JN-2): an interview without
+# records keeps its row 1.
+ZIPPED = {"D10", "D16", "D17", "D19", "D23", "D24", "D26", "D29", "D31", "D32", "D33", "D34", "D36", "D40"}
+SPECS = tuple(replace(s, zip_records=True) if s.id in ZIPPED else s for s in SPECS)
+
 BY_ID = {s.id: s for s in SPECS}

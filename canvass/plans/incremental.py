@@ -14,10 +14,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from ..streaming.ingest import run_incremental
+from ..sinks.writers import append_new_rows, load_days
+from ..sources.documents import documents_to_stream, materialize_stream, question
+from ..streaming.ingest import read_target, run_incremental
 from .catalog import BY_ID
 from .interviews import order_interviews
 from .registry import ORACLES, query
+from .spec import spec_rejects
 
 OUT_TS = "yyyy-MM-dd HH:mm:ss"
 TS_COLS = ("Upload", "VisitStart", "VisitEnd", "Date")
@@ -43,8 +46,91 @@ def q_str1(spark, sf_dir):
     landing = _landing(spark, sf_dir, base)
     run_incremental(spark, landing, f"{base}/target", f"{base}/stream-checkpoint", BY_ID["D01"],
                     watermark="3650 days", post=_format)
-    return spark.read.parquet(f"{base}/target").drop("upload_date")
+    return read_target(spark, f"{base}/target").drop("upload_date")
 
 
 # the stream must equal the batch dataset
 ORACLES["str1_stream_equals_batch_d01"] = ORACLES["d01_recruit_profile_from_xml"]
+
+
+@query("str1_two_arrivals_same_day", ORACLES["d01_recruit_profile_from_xml"])
+def q_two_arrivals(spark, sf_dir):
+    """Each day's interviews arrive in two runs, the second with re-deliveries of the
+    first; a two-day watermark on the arrival time. Nothing is lost or doubled."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/str1-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(_landing(spark, sf_dir, base)).withColumn(
+        "upload_ts", F.to_timestamp(F.lit("2024-01-01 00:00:00")) + F.make_dt_interval(
+            secs=F.pmod("subject_id", F.lit(3600))))
+    path = f"{base}/arrivals"
+    odd = F.col("subject_id") % 2 == 1
+    for part in (docs.where(odd), docs.where(~odd | (F.col("subject_id") % 3 == 0))):
+        part.write.mode("append").parquet(path)
+        run_incremental(spark, path, f"{base}/target", f"{base}/stream-checkpoint", BY_ID["D01"], watermark="2 days",
+                        post=_format)
+    return read_target(spark, f"{base}/target").drop("upload_date")
+
+
+@query("snk5_rerun_emptied_day", """
+SELECT o_orderkey AS subject_id, strftime(o_orderdate, '%Y-%m-%d') AS upload_date FROM orders
+WHERE o_orderkey % 4 <> 0 AND day(o_orderdate) <> 1
+""")
+def q_rerun_emptied(spark, sf_dir):
+    """SNK-5: all days are loaded, then re-run from a source that has lost some rows of
+    each day and all rows of the first of each month."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snk5-{uuid.uuid4().hex}"
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderkey").alias("subject_id"), F.to_date("o_orderdate").alias("upload_date"))
+    for rows in (o, o.where((F.col("subject_id") % 4 != 0) & (F.dayofmonth("upload_date") != 1))):
+        load_days(rows.repartition("upload_date"), f"{base}/t")
+    return spark.read.parquet(f"{base}/t").select("subject_id", F.col("upload_date").cast("string"))
+
+
+@query("snk5_append_new_keys", """
+SELECT DISTINCT c_nationkey AS nation, c_mktsegment AS segment FROM customer
+UNION ALL SELECT CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR)
+""")
+def q_append_new(spark, sf_dir):
+    """SNK-5: keyed appends run twice over rows with repeated and NULL keys."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snk5-{uuid.uuid4().hex}"
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_nationkey").cast("long").alias("nation"), F.col("c_mktsegment").alias("segment"))
+    none = c.select(F.lit(None).cast("long").alias("nation"), F.lit(None).cast("string").alias("segment"))
+    for rows in (c.where("nation < 10").union(none), c.union(none)):
+        append_new_rows(rows, f"{base}/t", ["nation", "segment"])
+    return spark.read.parquet(f"{base}/t")
+
+
+@query("qua1_spec_rejects", """
+SELECT o_orderkey AS subject_id, 'D01' AS dataset,
+       CASE o_orderkey % 5 WHEN 0 THEN 'missing header' WHEN 1 THEN 'bad header time' ELSE 'no answers' END AS reason
+FROM orders WHERE o_orderkey % 5 <= 2
+""")
+def q_rejects(spark, sf_dir):
+    """QUA-1: interviews without header rows, with a malformed upload time, and empty ones."""
+    k = F.col("o_orderkey")
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(k)
+    header = F.concat(F.lit("<SubjectNum>"), k.cast("string"), F.lit("</SubjectNum><Upload>2024-01-02T03:04:05"),
+                      F.when(k % 5 == 1, ".5Z").otherwise("Z"), F.lit("</Upload>"))
+    body = F.lit("<FullVariable>surveyor</FullVariable><QuestionAnswer>x</QuestionAnswer>")
+    xml = F.when(k % 5 == 2, "<I/>").otherwise(F.concat(
+        F.lit("<I>"), F.when(k % 5 == 0, "").otherwise(header), body, F.lit("</I>")))
+    docs = o.select(k.alias("subject_id"), xml.alias("xml"))
+    return spec_rejects(BY_ID["D01"], materialize_stream(documents_to_stream(docs)), docs)
+
+
+@query("src4_landing_text_ids", """
+SELECT 'AB-' || p_partkey AS subject_id, p_name AS answer FROM part WHERE p_partkey <= 200
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name FROM supplier
+""")
+def q_landing(spark, sf_dir):
+    """SRC-4: a landing folder whose documents are named by text and by number."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/src4-{uuid.uuid4().hex}"
+    p = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_partkey <= 200") \
+        .select(F.concat(F.lit("AB-"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("v"))
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("v"))
+    docs = p.union(s).select("id", F.concat(F.lit("<I>"), question("q", F.col("v")), F.lit("</I>")).alias("value"))
+    docs.write.partitionBy("id").text(path)
+    landed = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"id=([^/]+)/", 1)
+    stream = documents_to_stream(landed.select(name.alias("subject_id"), F.col("value").alias("xml")))
+    return stream.where("element = 'QuestionAnswer'").select("subject_id", F.col("value").alias("answer"))

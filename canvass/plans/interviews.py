@@ -366,9 +366,9 @@ def impression_interviews(spark, sf_dir):
     pick = lambda v: F.concat(F.lit("<Variable>brand_impression</Variable><FullVariable>"),
                               v, F.lit("</FullVariable>"))
     parts = [
-        grid(D19_STATEMENTS[0], F.col("o_orderpriority")),
-        grid(D19_STATEMENTS[10], F.col("o_orderstatus")),
-        F.when(k % 2 == 0, grid(D19_STATEMENTS[0], F.col("o_orderstatus"))),
+        F.when(k % 5 != 0, grid(D19_STATEMENTS[0], F.col("o_orderpriority"))),
+        F.when(k % 5 != 0, grid(D19_STATEMENTS[9], F.col("o_orderstatus"))),
+        F.when((k % 5 != 0) & (k % 2 == 0), grid(D19_STATEMENTS[0], F.col("o_orderstatus"))),
         pick(F.lit("strong")),
         pick(F.substring("o_orderpriority", 3, 20)),
         F.lit("<Variable>overall_best</Variable>"),
@@ -378,7 +378,8 @@ def impression_interviews(spark, sf_dir):
 
 @query("d19_impression_from_xml", """
 SELECT o_orderkey AS subject_id, CAST(o_orderkey AS VARCHAR) AS SubjectNum, '2024-03-04 05:06:07' AS Upload,
-       o_orderpriority AS first_statement, o_orderstatus AS other_statement, x AS brand_impression
+       CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS first_statement,
+       CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS other_statement, x AS brand_impression
 FROM orders, unnest(['strong', substr(o_orderpriority, 3, 20)]) AS u(x)
 """)
 def q_d19(spark, sf_dir):
@@ -391,7 +392,7 @@ def q_d19(spark, sf_dir):
     out = run_spec(BY_ID["D19"], answers)
     return out.select(SUBJECT, "SubjectNum", F.date_format("Upload", OUT_TS).alias("Upload"),
                       F.col(f"`{D19_STATEMENTS[0]}`").alias("first_statement"),
-                      F.col(f"`{D19_STATEMENTS[10]}`").alias("other_statement"), "brand_impression")
+                      F.col(f"`{D19_STATEMENTS[9]}`").alias("other_statement"), "brand_impression")
 
 
 def stock_interviews(spark, sf_dir):
@@ -672,24 +673,28 @@ def consumer_interviews(spark, sf_dir):
               "ClientDuration": F.lit("00:20"), "Date": ts}
     parts = [question("surveyor", F.col("c_name")), question("city", F.col("c_nationkey")),
              question("income", F.col("c_mktsegment")),
-             grid("Toothpaste", F.lit("Daily")), grid("Food Seasoning", F.col("c_mktsegment")),
-             F.when(k % 3 == 0, grid("Toothpaste", F.lit("Weekly")))]
+             F.when(k % 5 != 0, F.concat(grid("Toothpaste", F.lit("Daily")), grid("Food Seasoning", F.col("c_mktsegment")))),
+             F.when((k % 5 != 0) & (k % 3 == 0), grid("Toothpaste", F.lit("Weekly")))]
     return _spread(c.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
 
 
 @query("d24_consumer_profile_from_xml", """
-SELECT c_custkey AS subject_id, CAST(1 AS BIGINT) AS rec, c_name AS surveyor, CAST(c_nationkey AS VARCHAR) AS city,
-       c_mktsegment AS income, 'Daily' AS Toothpaste, c_mktsegment AS "Food Seasoning"
+SELECT c_custkey AS subject_id, CAST(1 AS BIGINT) AS rec, CAST(c_custkey AS VARCHAR) AS SubjectNum, c_name AS surveyor,
+       CAST(c_nationkey AS VARCHAR) AS city, c_mktsegment AS income,
+       CASE WHEN c_custkey % 5 <> 0 THEN 'Daily' END AS Toothpaste,
+       CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS "Food Seasoning"
 FROM customer
 UNION ALL
-SELECT c_custkey, CAST(2 AS BIGINT), NULL, NULL, NULL, 'Weekly', NULL FROM customer WHERE c_custkey % 3 = 0
+SELECT c_custkey, CAST(2 AS BIGINT), CAST(c_custkey AS VARCHAR), NULL, NULL, NULL, 'Weekly', NULL
+FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 5 <> 0
 """)
 def q_d24(spark, sf_dir):
     """D24 end to end: loose profile lookups (on the first record only)
-    beside grid records opened by the 'Toothpaste' sentinel."""
+    beside grid records opened by the 'Toothpaste' sentinel; every fifth
+    interview has no grid records and keeps its row 1."""
     answers = materialize_stream(documents_to_stream(consumer_interviews(spark, sf_dir)))
     out = run_spec(BY_ID["D24"], answers)
-    return out.select(SUBJECT, "rec", "surveyor", "city", "income", "Toothpaste", "`Food Seasoning`")
+    return out.select(SUBJECT, "rec", "SubjectNum", "surveyor", "city", "income", "Toothpaste", "`Food Seasoning`")
 
 
 def media_interviews(spark, sf_dir):
@@ -703,14 +708,15 @@ def media_interviews(spark, sf_dir):
     parts = [question("channel_for_reach", F.col("c_mktsegment")),
              question("radio_stations", F.concat(F.lit("R"), (k % 3).cast("string"), F.lit(", R9"))),
              question("tv_stations", F.when(k % 2 == 0, F.lit("T1, , T2")).otherwise(F.lit("T1"))),
-             grid("TV", F.lit("Often")), grid("Radio", (k % 7).cast("string")),
-             F.when(k % 4 == 0, grid("TV", F.lit("Never")))]
+             F.when(k % 5 != 0, F.concat(grid("TV", F.lit("Often")), grid("Radio", (k % 7).cast("string")))),
+             F.when((k % 5 != 0) & (k % 4 == 0), grid("TV", F.lit("Never")))]
     return _spread(c.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")))
 
 
 @query("d16_media_from_xml", """
 SELECT c_custkey AS subject_id, c_mktsegment AS channel_for_reach, r AS radio_stations, t AS tv_stations,
-       'Often' AS TV, CAST(c_custkey % 7 AS VARCHAR) AS Radio
+       CAST(c_custkey AS VARCHAR) AS SubjectNum, CASE WHEN c_custkey % 5 <> 0 THEN 'Often' END AS TV,
+       CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey % 7 AS VARCHAR) END AS Radio
 FROM customer, unnest(['R' || (c_custkey % 3), 'R9']) AS a(r),
      unnest(CASE WHEN c_custkey % 2 = 0 THEN ['T1', 'T2'] ELSE ['T1'] END) AS b(t)
 """)
@@ -720,7 +726,7 @@ def q_d16(spark, sf_dir):
     later records have only NULL explode cells and drop out (FIL-7)."""
     answers = materialize_stream(documents_to_stream(media_interviews(spark, sf_dir)))
     out = run_spec(BY_ID["D16"], answers)
-    return out.select(SUBJECT, "channel_for_reach", "radio_stations", "tv_stations", "TV", "Radio")
+    return out.select(SUBJECT, "SubjectNum", "channel_for_reach", "radio_stations", "tv_stations", "TV", "Radio")
 
 
 def bike_interviews(spark, sf_dir):

@@ -9,12 +9,14 @@ answers -> NULL), whatever the interviews contain.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (GPS_COLUMNS, gps_columns, parse_optional_ts, parse_survey_ts,
-                                 strip_parenthetical)
+                                 strip_parenthetical, ts_parse_failed)
 from ..operators.assemble import assemble_records, section_values
 from ..operators.filters import drop_all_null, marker_slice, marker_slice_inclusive, not_done
 from ..operators.lookup import (header_by_name, header_pairs, lookup, sku_metric_lookup,
@@ -84,6 +86,7 @@ class SurveySpec:
     explode_trim: str | None = None          # EX-3 column (parity: NULL -> 'None')
     explode_untrimmed: str | None = None     # EX-2 column
     categories: bool = False                 # EX-4 + FIL-6
+    zip_records: bool = False                # JN-2: record 1 also for interviews without records
 
     def output_columns(self) -> list[str]:
         cols = [HEADER_RENAME.get(h, h) for h in self.header]
@@ -152,7 +155,12 @@ def run_spec(spec: SurveySpec, answers: DataFrame, period: str | None = None) ->
         recs = record_frames[0]
         for r in record_frames[1:]:
             recs = recs.join(r, [SUBJECT, "rec"], "full_outer")   # JN-2 zip by record number
-        out = out.join(recs, SUBJECT, "inner")                      # JN-1 header beside items
+        if spec.zip_records:
+            # JN-2: the header side is one row long, so an interview without
+            # records still has row 1; the header stands on every record
+            out = out.join(recs, SUBJECT, "left").withColumn("rec", F.coalesce("rec", F.lit(1).cast("long")))
+        else:
+            out = out.join(recs, SUBJECT, "inner")                  # JN-1 header beside items
     for b in spec.blocks:
         if b.records:
             continue
@@ -215,6 +223,21 @@ def run_spec(spec: SurveySpec, answers: DataFrame, period: str | None = None) ->
     return out
 
 
+def spec_rejects(spec: SurveySpec, answers: DataFrame, subjects: DataFrame) -> DataFrame:
+    """QUA-1 for one dataset: ``(subject_id, dataset, reason)`` for each of
+    ``subjects(subject_id)`` that the spec cannot use: no answers at all, none of
+    its header rows, or a required header time that does not parse."""
+    h = header_by_name(answers, spec.header)
+    times = [c for c in spec.header if c in TIMESTAMPS]
+    bad = [F.col(c).isNotNull() & ts_parse_failed(c) for c in times]
+    h = h.withColumn("__bad", reduce(or_, bad, F.lit(False))).select(SUBJECT, "__bad")
+    seen = answers.select(SUBJECT).distinct().withColumn("__any", F.lit(True))
+    s = subjects.select(SUBJECT).distinct().join(seen, SUBJECT, "left").join(h, SUBJECT, "left")
+    reason = (F.when(F.col("__any").isNull(), "no answers").when(F.col("__bad").isNull(), "missing header")
+              .when(F.col("__bad"), "bad header time"))
+    return s.select(SUBJECT, F.lit(spec.id).alias("dataset"), reason.alias("reason")).where("reason is not null")
+
+
 def period_of(run_date: str) -> str:
     """SC-9 / X7: Period text 'YYYY-MM-01' of a run date (parity: the run month)."""
     return run_date[:7] + "-01"

@@ -144,9 +144,7 @@ FROM events GROUP BY user_id
 def q_lim1(spark, sf_dir):
     """LIM-1: first match per subject."""
     s = event_stream(spark, sf_dir)
-    f = first_per_subject(s, ELEMENT, out="first_event")
-    m = s.groupBy(SUBJECT).agg(F.min(SEQ).alias("first_seq"))
-    return f.join(m, SUBJECT)
+    return s.groupBy(SUBJECT).agg(F.min_by(ELEMENT, SEQ).alias("first_event"), F.min(SEQ).alias("first_seq"))
 
 
 @query("fil3a_signup_to_purchase", """

@@ -2,8 +2,9 @@
 
 landing documents -> day-range filter (partition-pruned) -> parse once
 (checkpointed answer stream) -> every dataset spec -> idempotent load by
-upload day; unparsable documents go to a rejects table. Re-running a range
-replaces exactly those days (no duplicate appends, unlike a re-append per day).
+upload day; unparsable documents and interviews that a spec cannot use go to a
+rejects table, with dataset and reason. Re-running a range replaces exactly those
+days, in the rejects too, and a day that has become empty loses its rows.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import SUBJECT
-from ..sinks.writers import append_table, load_partitions_idempotent
-from ..sources.documents import document_errors, documents_to_stream, materialize_stream
-from .spec import SurveySpec, period_of, run_spec
+from ..sinks.writers import load_days
+from ..sources.documents import documents_to_stream, materialize_stream
+from .spec import SurveySpec, period_of, run_spec, spec_rejects
 
 
 def _days(docs: DataFrame, first_day: str | None, last_day: str | None) -> DataFrame:
@@ -40,23 +41,25 @@ def load_survey(spark: SparkSession, landing: str, specs: Sequence[SurveySpec],
     """Load every dataset of one survey; returns rows loaded per dataset
     (counted during the write). ``run_date`` gives the parity Period (run
     month); without it no Period column is added."""
-    from pyspark.sql import Observation
-
     docs = _days(spark.read.parquet(landing), first_day, last_day).select(SUBJECT, "upload_ts", "xml")
-    append_table(document_errors(docs).withColumn("reason", F.lit("unparsable document")),
-                 f"{out_root}/_rejects")
-    answers = materialize_stream(documents_to_stream(docs))
     days = docs.select(SUBJECT, F.to_date("upload_ts").alias("upload_date"))
+    # parsed once: the checkpointed stream holds the answers and the parse errors
+    parsed = materialize_stream(documents_to_stream(docs, keep_errors=True))
+    answers = parsed.filter(F.col("parse_error").isNull()).drop("parse_error")
+    broken = parsed.filter(F.col("parse_error").isNotNull()).select(
+        SUBJECT, F.lit(None).cast("string").alias("dataset"), F.lit("unparsable document").alias("reason"))
+    whole = days.select(SUBJECT).join(broken, SUBJECT, "left_anti")
+    rejects = broken
     period = period_of(run_date) if run_date else None
     counts = {}
     for spec in specs:
-        out = run_spec(spec, answers, period).join(days, SUBJECT)
+        bad = spec_rejects(spec, answers, whole)
+        rejects = rejects.unionByName(bad)
+        out = run_spec(spec, answers, period).join(bad.select(SUBJECT), SUBJECT, "left_anti").join(days, SUBJECT)
         if period is not None:                          # PRJ-1: Period stays first
             out = out.select("Period", *[F.col(f"`{c}`") for c in out.columns if c != "Period"])
-        # a quiet day in one file, a hot day cut into several ranges; observed
-        # above the range exchange (its sampling pass must not be counted)
-        obs = Observation(spec.sink)
-        out = out.repartitionByRange("upload_date", SUBJECT).observe(obs, F.count(F.lit(1)).alias("rows"))
-        load_partitions_idempotent(out, f"{out_root}/{spec.sink}", ["upload_date"])
-        counts[spec.sink] = obs.get["rows"]
+        # a quiet day in one file, a hot day cut into several ranges
+        out = out.repartitionByRange("upload_date", SUBJECT)
+        counts[spec.sink] = load_days(out, f"{out_root}/{spec.sink}", first_day, last_day)
+    load_days(rejects.join(days, SUBJECT), f"{out_root}/_rejects", first_day, last_day)
     return counts

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import normalise_name
+from ..functions.scalars import normalise_name, strip
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -51,33 +51,60 @@ def fan_out(df: DataFrame, path: str, key: str, out_key: str = "table",
      .write.mode(mode).partitionBy(out_key).parquet(path))
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+
+
 def load_partitions_idempotent(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """SNK-5 (a): re-running a day replaces exactly that day's partitions
-    (dynamic partition overwrite); other days are untouched."""
+    """SNK-5 (a): a re-run replaces exactly the partitions that it has rows for
+    (dynamic partition overwrite, an option of this write only)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
+def load_days(df: DataFrame, path: str, first_day: str | None = None, last_day: str | None = None,
+              day_col: str = "upload_date") -> int:
+    """SNK-5 (a) for a requested range of days (an open end has no bound): afterwards
+    the table holds ``df``'s rows for exactly those days, so a day that has
+    become empty loses its old rows. Returns the rows loaded. Only the list of
+    days and the count reach the driver."""
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    obs = Observation()
+    load_partitions_idempotent(df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(
+        F.col(day_col).cast("string")).alias("days")), path, [day_col])
+    fs, root = _hadoop_path(spark, path)
+    for s in fs.listStatus(root):
+        name, _, day = s.getPath().getName().partition("=")
+        if name == day_col and day not in obs.get["days"] and (first_day or "") <= day <= (last_day or "~"):
+            fs.delete(s.getPath(), True)
+    return obs.get["rows"]
 
 
 def only_new_rows(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """SNK-5 (b): rows whose key is not in the target yet (left-anti join on
-    the dataset key; both sides shuffle on the key, AQE splits hot keys)."""
-    return df.join(target.select(*keys).distinct(), list(keys), "left_anti")
+    """SNK-5 (b): one row for each key that is not in the target yet. NULL is a key
+    value like any other (null-safe left-anti join; both sides shuffle on the
+    key, AQE splits hot keys)."""
+    old = target.select(*[F.col(f"`{k}`").alias(f"__old_{k}") for k in keys]).distinct()
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`__old_{k}`")) for k in keys]
+    return df.dropDuplicates(list(keys)).join(old, same, "left_anti")
 
 
 def append_new_rows(df: DataFrame, path: str, keys: Sequence[str],
                     partition_by: Sequence[str] = ()) -> int:
     """Append only unseen keys; returns the number of rows appended."""
     spark = df.sparkSession
-    try:
-        target = spark.read.parquet(path)
-        new = only_new_rows(df, target, keys)
-    except Exception:  # first load: no target yet
-        new = df
+    if table_exists(spark, path):
+        new = only_new_rows(df, spark.read.parquet(path), keys)
+    else:                                        # first load
+        new = df.dropDuplicates(list(keys))
     new = new.cache()
     n = new.count()
     if n:
@@ -111,7 +138,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     for f in schema.fields:
         if f.name in df.columns:
             c = F.col(f"`{f.name}`")
-            c = F.trim(c).try_cast(f.dataType) if isinstance(df.schema[f.name].dataType, T.StringType) \
+            c = strip(c).try_cast(f.dataType) if isinstance(df.schema[f.name].dataType, T.StringType) \
                 and not isinstance(f.dataType, T.StringType) else c.cast(f.dataType)
         else:
             c = F.lit(None).cast(f.dataType)
@@ -121,9 +148,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """SNK-6: create the (empty, typed) table if it does not exist."""
-    try:
-        spark.read.parquet(path)
-    except Exception:
+    if not table_exists(spark, path):
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 

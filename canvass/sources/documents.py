@@ -16,6 +16,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.ordered import block_span
 
@@ -47,10 +48,10 @@ def flatten_document(xml_text: str) -> list[tuple[str, str, str]]:
     return out
 
 
-def _flatten_batches(span: int, docs_per_chunk: int = 1000):
+def _flatten_batches(span: int, id_dtype: str, docs_per_chunk: int = 1000):
     def frame(subj, seqs, els, attrs, vals, errs):
         seq = pd.Series(seqs, dtype="int64")
-        return pd.DataFrame({"subject_id": pd.Series(subj, dtype="int64"), "seq": seq,
+        return pd.DataFrame({"subject_id": pd.Series(subj, dtype=id_dtype), "seq": seq,
                              "block": seq // span, "element": els, "attribute": attrs,
                              "value": vals, "parse_error": errs})
 
@@ -78,14 +79,17 @@ def _flatten_batches(span: int, docs_per_chunk: int = 1000):
 
 
 def documents_to_stream(docs: DataFrame, *, keep_errors: bool = False) -> DataFrame:
-    """SRC-5: ``docs(subject_id LONG, xml STRING)`` -> answer stream.
+    """SRC-5: ``docs(subject_id LONG or STRING, xml STRING)`` -> answer stream.
 
     Documents that do not parse give one row with ``parse_error`` set (seq -1)
     when ``keep_errors``; otherwise they are dropped here and reported by
     ``document_errors``."""
     span = block_span(docs.sparkSession)
-    out = docs.select(F.col("subject_id").cast("long"), F.col("xml").cast("string")).mapInPandas(
-        _flatten_batches(span), STREAM_SCHEMA)
+    # ids keep their kind: numbers from tables, text from landing folders
+    text = isinstance(docs.schema["subject_id"].dataType, T.StringType)
+    schema = STREAM_SCHEMA.replace("subject_id long", "subject_id string") if text else STREAM_SCHEMA
+    out = docs.select(F.col("subject_id").cast("string" if text else "long"), F.col("xml").cast("string")).mapInPandas(
+        _flatten_batches(span, "object" if text else "int64"), schema)
     if keep_errors:
         return out
     return out.filter(F.col("parse_error").isNull()).drop("parse_error")
@@ -102,7 +106,7 @@ def read_landing(spark: SparkSession, path: str, *, subject_from: str = "file")
     subject id is the file's base name without extension."""
     df = spark.read.option("wholetext", True).text(path)
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+?)(\.[^.]*)?$", 1)
-    return df.select(name.cast("long").alias("subject_id"), F.col("value").alias("xml"),
+    return df.select(name.alias("subject_id"), F.col("value").alias("xml"),
                      *[c for c in df.columns if c != "value"])
 
 

@@ -16,13 +16,13 @@ def day_range(start: Column, end: Column) -> Column:
 
 def upload_window(df: DataFrame, ts_col: str, day: str,
                   partition_col: str | None = "upload_date") -> DataFrame:
-    """SRC-2: rows uploaded within one UTC day, 00:00:00.000 - 23:59:59.999.
+    """SRC-2: rows uploaded within one UTC day, from its midnight to before the next.
     The range reaches the parquet scan as PushedFilters; when the table is
     partitioned by upload day, the day is also a partition filter, so only
     that day's folder is listed and read."""
-    start = F.to_timestamp(F.lit(f"{day} 00:00:00.000"))
-    end = F.to_timestamp(F.lit(f"{day} 23:59:59.999"))
-    out = df.filter((F.col(ts_col) >= start) & (F.col(ts_col) <= end))
+    start = F.to_date(F.lit(day))
+    out = df.filter((F.col(ts_col) >= start.cast("timestamp"))
+                    & (F.col(ts_col) < F.date_add(start, 1).cast("timestamp")))
     if partition_col and partition_col in df.columns:
         out = out.filter(F.col(partition_col) == F.to_date(F.lit(day)))
     return out

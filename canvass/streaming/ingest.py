@@ -4,13 +4,16 @@ The original jobs re-run a date range; here new interview files are picked up as
 they land. Each interview arrives whole, so every stream operator runs per
 micro-batch inside ``foreachBatch``; the only streaming state is the
 deduplication of re-delivered interviews (``dropDuplicatesWithinWatermark``
-on the subject key, bounded by the watermark). Writes are idempotent
-(dynamic partition overwrite per upload day), so a replayed batch after a
-failure rewrites the same partitions instead of duplicating rows.
+on the subject key, bounded by the watermark). A batch writes partitions of its
+own, ``(upload_date, batch)``: a replay after a failure replaces what that batch
+wrote and nothing else, and interviews of one day may arrive in many batches.
+Interviews later than the watermark are dropped by Spark and counted
+(``late_drops``).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +45,12 @@ def deduplicated(docs: DataFrame, watermark: str = "2 days") -> DataFrame:
 
 
 def spec_batch_writer(spec: SurveySpec, target: str,
-                      post: Callable[[DataFrame], DataFrame] | None = None):
-    """foreachBatch body: flatten, interpret the spec, load idempotently by day."""
+                      post: Callable[[DataFrame], DataFrame] | None = None, run: str = "0"):
+    """foreachBatch body: flatten, interpret the spec, load idempotently by day
+    and batch. ``run`` names the query (its checkpoint), so that batch numbers of
+    different queries on one target do not meet."""
     def write(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist()       # the stateful step runs once, and its late drops count once
         days = batch.select("subject_id", F.to_date("upload_ts").alias("upload_date"))
         # parsed once per micro-batch (the batch is replayable, so a lost cache
         # block is recomputed from the source files, not lost)
@@ -57,9 +63,11 @@ def spec_batch_writer(spec: SurveySpec, target: str,
             # range-clustered on (day, subject): a quiet day lands in one task
             # (one file), a hot day is cut into several ranges (several tasks)
             out = out.repartitionByRange("upload_date", "subject_id")
-            load_partitions_idempotent(out, target, ["upload_date"])
+            out = out.withColumn("batch", F.lit(f"{run}-{epoch_id}"))
+            load_partitions_idempotent(out, target, ["upload_date", "batch"])
         finally:
             answers.unpersist()
+            batch.unpersist()
     return write
 
 
@@ -73,11 +81,12 @@ def run_incremental(spark: SparkSession, landing: str, target: str, checkpoint:
     the checkpoint; default: the cluster's default parallelism, so it grows
     with the cluster instead of being a constant)."""
     docs = deduplicated(read_landing_stream(spark, landing), watermark)
+    name = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     parts = state_partitions or spark.sparkContext.defaultParallelism
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
-        q = (docs.writeStream.foreachBatch(spec_batch_writer(spec, target, post))
+        q = (docs.writeStream.foreachBatch(spec_batch_writer(spec, target, post, name))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
         q.awaitTermination()
@@ -86,6 +95,16 @@ def run_incremental(spark: SparkSession, landing: str, target: str, checkpoint:
     return q
 
 
+def late_drops(q) -> int:
+    """Interviews that a finished query dropped for coming after the watermark."""
+    return sum(int(s["numRowsDroppedByWatermark"]) for p in q.recentProgress for s in p["stateOperators"])
+
+
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    """The loaded table without the batch partition."""
+    return spark.read.parquet(target).drop("batch")
+
+
 def daily_counts(docs_stream: DataFrame, watermark: str = "2 days") -> DataFrame:
     """Interviews per upload day, emitted once the day is closed by the watermark."""
     return (docs_stream.withWatermark("upload_ts", watermark)

@@ -35,11 +35,11 @@ def test_bad_documents_are_quarantined(spark):
 
 def test_landing_folder_read(spark):
     d = _scratch()
-    for sid in (11, 12):
+    for sid in (11, 12, "AB-7"):
         with open(os.path.join(d, f"{sid}.xml"), "w") as fh:
             fh.write(f"<R><SubjectNum>{sid}</SubjectNum></R>")
     got = read_landing(spark, d)
-    assert sorted(r.subject_id for r in got.collect()) == [11, 12]
+    assert sorted(r.subject_id for r in got.collect()) == ["11", "12", "AB-7"]
 
 
 def test_day_range_guard_and_id_list(spark):
@@ -94,7 +94,7 @@ def test_stream_equals_batch(spark):
     docs.write.mode("append").parquet(landing)
     run_incremental(spark, landing, os.path.join(base, "target"), os.path.join(base, "ck"),
                     BY_ID["D01"], watermark="3650 days")
-    streamed = spark.read.parquet(os.path.join(base, "target")).drop("upload_date")
+    streamed = spark.read.parquet(os.path.join(base, "target")).drop("upload_date", "batch")
     batch = run_spec(BY_ID["D01"], documents_to_stream(docs.select("subject_id", "xml")))
     cols = sorted(batch.columns)
     assert streamed.count() == batch.count()
@@ -172,4 +172,34 @@ def test_load_survey_idempotent_with_rejects(spark):
     assert {r.Period for r in loaded.select("Period").distinct().collect()} == {"2026-03-01"}
     assert loaded.columns[0] == "Period"
     rejects = spark.read.parquet(os.path.join(out, "_rejects")).collect()
-    assert [r.subject_id for r in rejects] == [10**9, 10**9]   # reported on each run
+    assert [(r.subject_id, r.reason) for r in rejects] == [(10**9, "unparsable document")]   # once, however often it runs
+
+
+def test_late_interviews_are_counted(spark):
+    from canvass.streaming.ingest import late_drops
+
+    base = _scratch()
+    doc = "<I><SubjectNum>1</SubjectNum><Upload>2024-01-01T00:00:00Z</Upload></I>"
+    for i, day in ((1, "2024-01-01"), (2, "2024-02-01"), (3, "2024-01-02")):
+        spark.createDataFrame([(i, doc)], "subject_id long, xml string") \
+            .withColumn("upload_ts", F.to_timestamp(F.lit(f"{day} 00:00:00"))).select("subject_id", "upload_ts", "xml") \
+            .write.mode("append").parquet(os.path.join(base, "landing"))
+        q = run_incremental(spark, os.path.join(base, "landing"), os.path.join(base, "t"), os.path.join(base, "ck"), BY_ID["D01"])
+    assert late_drops(q) == 1
+
+
+def test_upload_window_has_no_gap(spark):
+    from canvass.sources.ranges import upload_window
+
+    df = spark.sql("SELECT timestamp'2024-01-01 23:59:59.999999' ts UNION ALL SELECT timestamp'2024-01-02 00:00:00'")
+    assert [upload_window(df, "ts", d).count() for d in ("2024-01-01", "2024-01-02")] == [1, 1]
+
+
+def test_strip_takes_all_white_space(spark):
+    from canvass.operators.lookup import option_sets_equal
+    from canvass.operators.reshape import explode_then_trim
+
+    df = spark.createDataFrame([("a,\tb,\nc\u00a0",)], "v string")
+    assert [r.v for r in explode_then_trim(df, "v").collect()] == ["a", "b", "c"]
+    wet = spark.createDataFrame([("Wet,\nDry Hair",)], "v string")
+    assert wet.select(option_sets_equal("v", ["wet", "dry hair"]).alias("x")).first().x

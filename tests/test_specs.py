@@ -21,7 +21,7 @@ def _answers(spark, *docs):
 def test_catalogue_is_complete():
     assert [s.id for s in SPECS] == [f"D{i:02d}" for i in range(1, 43)]
     assert len(BY_ID["D02"].sku_metric[0]) == 35 and len(BY_ID["D02"].sku_metric[1]) == 13
-    assert len(BY_ID["D19"].blocks[0].variables) == 17
+    assert len(BY_ID["D19"].blocks[0].variables) == 19
 
 
 def test_d37_items(spark):
