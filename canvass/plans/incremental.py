@@ -71,16 +71,16 @@ def q_two_arrivals(spark, sf_dir):
 
 
 @query("snk5_rerun_emptied_day", """
-SELECT o_orderkey AS subject_id, strftime(o_orderdate, '%Y-%m-%d') AS upload_date FROM orders
-WHERE o_orderkey % 4 <> 0 AND day(o_orderdate) <> 1
+SELECT o_orderkey AS subject_id, strftime(o_orderdate, '%Y-%m-01') AS upload_date FROM orders
+WHERE o_orderkey % 4 <> 0 AND month(o_orderdate) <> 1
 """)
 def q_rerun_emptied(spark, sf_dir):
-    """SNK-5: all days are loaded, then re-run from a source that has lost some rows of
-    each day and all rows of the first of each month."""
+    """SNK-5: orders loaded by the first of their month, then re-run from a source that
+    has lost some rows of each such day and all rows of each January."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snk5-{uuid.uuid4().hex}"
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.col("o_orderkey").alias("subject_id"), F.to_date("o_orderdate").alias("upload_date"))
-    for rows in (o, o.where((F.col("subject_id") % 4 != 0) & (F.dayofmonth("upload_date") != 1))):
+        F.col("o_orderkey").alias("subject_id"), F.trunc("o_orderdate", "month").alias("upload_date"))
+    for rows in (o, o.where((F.col("subject_id") % 4 != 0) & (F.month("upload_date") != 1))):
         load_days(rows.repartition("upload_date"), f"{base}/t")
     return spark.read.parquet(f"{base}/t").select("subject_id", F.col("upload_date").cast("string"))
 

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import option_lists
 from ..schema import SUBJECT
-from ..sources.bindings import FILE_SHIFT, file_numbers, normalise_path, page_tag_stream
+from ..sources.bindings import line_digest_columns, page_tag_stream
 from ..sources.documents import (documents_to_stream, grid, interview_document,
                                  materialize_stream, question, tag)
-from ..sources.tables import read_table, table_path
+from ..sources.tables import read_table
 from .catalog import BY_ID, SKUS_D02, SUPPLIERS
 from .registry import query
 from .spec import run_spec
@@ -104,11 +104,9 @@ def item_interviews(spark, sf_dir):
     """One item-audit interview per line item: an outlet code, one item
     block (loop prefix I_1_), then a closing DONE item (I_2_)."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                    "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate",
-                    "_metadata.row_index", "_metadata.file_path")
-    # interview id = (file number, row in file): unique over a multi-file table
-    li = li.join(F.broadcast(file_numbers(spark, table_path(sf_dir, "lineitem"))),
-                 normalise_path(F.col("file_path")) == F.col("__fp"))
+                    "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
+    # interview id = digest of the row: no file listing, any layout
+    sid = F.md5(F.concat_ws("|", *line_digest_columns(li)))
     header = {"SubjectNum": F.concat_ws("-", F.col("l_orderkey").cast("string"),
                                         F.col("l_linenumber").cast("string")),
               "Upload": F.date_format("l_shipdate", ISO)}
@@ -125,7 +123,6 @@ def item_interviews(spark, sf_dir):
         question("I_1_country_of_origin", F.col("l_linestatus")),
         question("I_2_item_category", F.lit("DONE")),
     ]
-    sid = F.col("file_no") * F.lit(1 << FILE_SHIFT) + F.col("row_index")
     return _spread(li.select(sid.alias("subject_id"), interview_document(header, parts).alias("xml")))
 
 

@@ -8,6 +8,7 @@ at a fresh scratch folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,13 +41,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only if unset."""
+    """Return the shared checkpoint folder. If unset, a scratch one on a local
+    master; on a cluster, where executors would not see it, an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     scratch = tempfile.mkdtemp(prefix="canvass-ckpt-")
     sc.setCheckpointDir(scratch)
     return scratch

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..schema import ANSWER, QUESTION
 from ..operators.ordered import block_span
-from .tables import read_table, table_path
+from .tables import read_table
 
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 MICROS_PER_DAY = 86_400_000_000
@@ -95,49 +95,39 @@ def order_header_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.lit("text").alias("attribute"), "value"))
 
 
-FILE_SHIFT = 40   # positions per file: up to ~7.8e10 lines of 14 rows each
+PLACE_BITS = 40   # a line's place in its order is a hash of the row, in this many bits
 
 
-def normalise_path(c):
-    # listing and scan spell URIs differently ('file:///x' vs 'file:/x')
-    return F.regexp_replace(c, r"^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
-
-
-def file_numbers(spark: SparkSession, path: str) -> DataFrame:
-    """(normalised file path, file number) for every file of a table, from the
-    file listing (metadata only, one row per file -- a proven bound)."""
-    files = sorted(spark.read.parquet(path).inputFiles())
-    df = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "fp string, file_no long")
-    return df.select(normalise_path(F.col("fp")).alias("__fp"), "file_no")
+def line_digest_columns(df: DataFrame) -> list:
+    return [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]
 
 
 def lineitem_stream(spark: SparkSession, sf_dir: str, with_header: bool = False) -> DataFrame:
     """Each order is an interview; each line item a repeated record.
 
     Line rows: ``FullVariable = I_<linenumber>_<var>`` followed by its
-    ``QuestionAnswer`` (omitted when the cell is null = unanswered). The line's
-    position (file number, row in file) orders lines inside an order.
-
-    The narrow line rows are hash-partitioned on ``(subject_id, block)`` BEFORE
-    the 14-way explode: the explode runs in parallel whatever the file layout,
-    and the stream already has the distribution every ordered scan needs (no
-    second shuffle). All rows of a line share the block of its first row.
+    ``QuestionAnswer`` (omitted when the cell is null = unanswered). Lines of an
+    order go by a hash of the row, which needs no file listing and
+    holds for any file layout.
+
+    An order is cut into as many blocks as its lines fill (one for nearly all
+    orders, by a count per order), so a block holds about ``span`` rows and the
+    block summary of a scan stays at one row per order plus rows / span. The
+    narrow line rows are hash-partitioned on ``(subject_id, block)`` BEFORE the
+    14-way explode: the explode runs in parallel whatever the file layout, and
+    the stream already has the distribution every ordered scan needs.
     The order header rows are a separate stream (``order_header_stream``);
     ``with_header=True`` unions them in for operators that need both.
     """
     span = block_span(spark)
-    n = len(LINE_VARIABLES)
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber",
-                    *[c for c in LINE_VARIABLES], "_metadata.row_index", "_metadata.file_path")
-    # a line's position = (file number, row in file): unique even when the
-    # lines of one order sit in several files
-    li = li.join(F.broadcast(file_numbers(spark, table_path(sf_dir, "lineitem"))),
-                 normalise_path(F.col("file_path")) == F.col("__fp")).drop("__fp", "file_path")
-    base = (F.lit(HEADER_ROWS) + F.col("file_no") * F.lit(1 << FILE_SHIFT)
-            + F.col("row_index") * F.lit(2 * n))
-    li = li.select(F.col("l_orderkey").alias("subject_id"),
-                   F.floor(base / F.lit(span)).cast("long").alias("block"),
-                   base.alias("__base"), *[F.col(c) for c in ["l_linenumber", *LINE_VARIABLES]])
+    n = 2 * len(LINE_VARIABLES)
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", *LINE_VARIABLES)
+    hashed = F.shiftrightunsigned(F.xxhash64(*line_digest_columns(li)), 64 - PLACE_BITS)
+    li = li.select(F.col("l_orderkey").alias("subject_id"), hashed.alias("__place"), "l_linenumber", *LINE_VARIABLES)
+    sizes = li.groupBy("subject_id").agg(F.ceil(F.count(F.lit(1)) * F.lit(n) / F.lit(span)).alias("__blocks"))
+    li = li.join(sizes, "subject_id")
+    li = li.withColumn("block", F.shiftright(F.col("__place") * F.col("__blocks"), PLACE_BITS))
+    li = li.withColumn("__base", F.lit(HEADER_ROWS) + F.col("__place") * F.lit(n)).drop("__place", "__blocks")
     li = li.repartition("subject_id", "block")
     base = F.col("__base")
     rows = []
