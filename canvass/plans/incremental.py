@@ -14,13 +14,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from ..sinks.writers import append_new_rows, load_days
+from ..sinks.writers import append_new_rows, append_table, export_csv, fan_out, load_days
 from ..sources.documents import documents_to_stream, materialize_stream, question
 from ..streaming.ingest import read_target, run_incremental
 from .catalog import BY_ID
-from .interviews import order_interviews
+from .interviews import extra_category, order_interviews
 from .registry import ORACLES, query
-from .spec import spec_rejects
+from .spec import spec_rejects, specs_from_json, specs_to_json
 
 OUT_TS = "yyyy-MM-dd HH:mm:ss"
 TS_COLS = ("Upload", "VisitStart", "VisitEnd", "Date")
@@ -134,3 +134,40 @@ def q_landing(spark, sf_dir):
     name = F.regexp_extract(F.col("_metadata.file_path"), r"id=([^/]+)/", 1)
     stream = documents_to_stream(landed.select(name.alias("subject_id"), F.col("value").alias("xml")))
     return stream.where("element = 'QuestionAnswer'").select("subject_id", F.col("value").alias("answer"))
+
+
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("snk1_append_table", "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer")
+def q_append(spark, sf_dir):
+    """SNK-1: two appends into one partitioned table, read back."""
+    path = _scratch(spark, "snk1")
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey", "c_mktsegment")
+    for rows in (c.where("c_nationkey < 10"), c.where("c_nationkey >= 10")):
+        append_table(rows, path, ["c_mktsegment"])
+    return spark.read.schema(c.schema).parquet(path).select(*c.columns)
+
+
+@query("snk3_csv_export", "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name FROM supplier")
+def q_export(spark, sf_dir):
+    """SNK-3: export with a header line, read back as text."""
+    path = _scratch(spark, "snk3")
+    export_csv(spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_name"), path)
+    return spark.read.option("header", True).csv(path)
+
+
+@query("snk4_fan_out", "SELECT c_custkey, c_mktsegment, lower(c_mktsegment) AS \"table\" FROM customer")
+def q_fan_out(spark, sf_dir):
+    """SNK-4: one sub-table per segment, read back."""
+    path = _scratch(spark, "snk4")
+    fan_out(spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_mktsegment"), path, "c_mktsegment")
+    return spark.read.parquet(path)
+
+
+@query("src8_specs_from_json", ORACLES["d06_extra_category_from_xml"])
+def q_specs_json(spark, sf_dir):
+    """SRC-8: a job read back from its JSON form gives the dataset of the catalogue."""
+    job = {s.id: s for s in specs_from_json(specs_to_json(list(BY_ID.values())))}["D06"]
+    return extra_category(spark, sf_dir, job)

@@ -615,6 +615,12 @@ def q_d03(spark, sf_dir):
                                                  "GPS_Bearing", "GPS_Speed (km/h)"]])
 
 
+def extra_category(spark, sf_dir, spec):
+    """The D06 job over the census interviews."""
+    answers = materialize_stream(documents_to_stream(census_interviews(spark, sf_dir)))
+    return run_spec(spec, answers).select(SUBJECT, "Outlet_code", "category_extra")
+
+
 @query("d06_extra_category_from_xml", """
 SELECT c_custkey AS subject_id, CAST(c_custkey AS VARCHAR) AS Outlet_code, x AS category_extra
 FROM customer, unnest(string_split(c_mktsegment || ', Nails,  Spa', ',')) AS u(x)
@@ -622,9 +628,7 @@ FROM customer, unnest(string_split(c_mktsegment || ', Nails,  Spa', ',')) AS u(x
 def q_d06(spark, sf_dir):
     """D06 end to end: the extra-category answer split on ',' WITHOUT trimming
     (EX-2): leading spaces stay in the options."""
-    answers = materialize_stream(documents_to_stream(census_interviews(spark, sf_dir)))
-    out = run_spec(BY_ID["D06"], answers)
-    return out.select(SUBJECT, "Outlet_code", "category_extra")
+    return extra_category(spark, sf_dir, BY_ID["D06"])
 
 
 def availability_interviews(spark, sf_dir):
