@@ -219,3 +219,34 @@ def apply_quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text AS raw, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+lines AS (SELECT r, source, raw, unnest(string_split(text, chr(10))) AS line FROM d),
+worded AS (
+  SELECT *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'),
+                               '[^\x20\x09-\x0D]+') AS ws FROM lines),
+normal AS (SELECT *, array_to_string(ws, ' ') AS form FROM worded WHERE len(ws) > 0),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM normal GROUP BY r),
+places AS (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8),
+windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, ws[i:i + 7]) AS n FROM places),
+repeats AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS j FROM windows WHERE n > 1) GROUP BY r),
+hosts AS (SELECT source, count(*) AS n FROM (SELECT DISTINCT source, raw FROM d) GROUP BY source),
+often AS (
+  SELECT l.source, form FROM (SELECT DISTINCT source, raw, form FROM normal) l
+  JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+  GROUP BY l.source, form, h.n HAVING count(*) > 10 AND count(*) * 100 > h.n),
+gone AS (
+  SELECT r, sum(len(ws))::BIGINT AS n FROM normal l JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.form = o.form GROUP BY r),
+base AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(repeats.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(gone.n, 0)::BIGINT AS n_removed_words
+  FROM w LEFT JOIN dup ON w.r = dup.r LEFT JOIN repeats ON w.r = repeats.r LEFT JOIN gone ON w.r = gone.r),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND n_words - n_removed_words >= 20 AND 100 * (n_words - n_removed_words) >= 30 * n_words AS kept
+FROM judged
+"""

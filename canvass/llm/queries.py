@@ -82,3 +82,7 @@ ORACLES["op7_license_scan"] = license_scan.oracle()
 @query
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+ORACLES["op5_chat_format"] = chat_format.ORACLE
+ORACLES["op8_quality_rules"] = quality.ORACLE
