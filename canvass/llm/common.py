@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from canvass.session import ensure_checkpoint_dir
 
-BATCH_BYTES = 2 << 20     # bytes of text that a task turns into arrays at a time
+BATCH_BYTES = 1 << 20     # bytes of text that a task turns into arrays at a time
 HASH_BASE = 0x9E3779B97F4A7C15
 
 # The ASCII white space of the words `[^\x20\x09-\x0D]+`
