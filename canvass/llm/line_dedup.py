@@ -189,18 +189,30 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # --- verification -----------------------------------------------------------------
 
-def shingle_sets(lines: list[str], q: int = SHINGLE) -> list[set]:
-    """The shingle sets, each shingle as a 64-bit hash."""
+def shingle_hashes(lines: list[str], q: int = SHINGLE) -> list[np.ndarray]:
+    """Each line's shingle set, as sorted 64-bit hashes."""
     cp, size, begin = code_points(lines)
     wide = np.append(cp, np.zeros(q, np.uint32)).astype(np.uint64)
     h = np.zeros(len(cp), np.uint64)
     for j in range(q):
         h = h * np.uint64(0x9E3779B97F4A7C15) + wide[j:j + len(h)] + np.uint64(1)
     h = mix(h)
-    return [set(h[b:b + n - q + 1].tolist()) if n >= q else {x} for x, b, n in zip(lines, begin.tolist(), size.tolist())]
+    out = []
+    for x, b, n in zip(lines, begin.tolist(), size.tolist()):
+        # a shorter line is its own only shingle; the top bit keeps it apart from the others
+        s = np.sort(h[b:b + n - q + 1] >> np.uint64(1)) if n >= q else \
+            np.frombuffer(line_key(x)[:8], np.uint64) | np.uint64(1 << 63)
+        out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
+    return out
+
+
+def in_both(a: np.ndarray, b: np.ndarray) -> int:
+    c = np.concatenate([a, b])
+    c.sort()
+    return int(np.count_nonzero(c[1:] == c[:-1]))
 
 
-def link_lines(keys: list, sets: list[set], similarity: float = SIMILARITY) -> list[tuple]:
+def link_lines(keys: list, sets: list[np.ndarray], similarity: float = SIMILARITY) -> list[tuple]:
     """Links that connect all lines of a bucket that are at least ``similarity`` alike
     (exact Jaccard over shingle sets). A line is compared with a part's members,
     those with most hits first, until one links it to that part."""
@@ -214,7 +226,7 @@ def link_lines(keys: list, sets: list[set], similarity: float = SIMILARITY) -> l
                 b = sets[m[1]]
                 if len(b) < similarity * len(a):     # lines come by growing size
                     continue
-                both = len(a & b)
+                both = in_both(a, b)
                 if both >= similarity * (len(a) + len(b) - both):
                     m[0] += 1
                     links.append((keys[i], keys[m[1]]))
@@ -236,7 +248,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out: list[tuple] = []
     for batch in slices(batches, "line"):
         lines = batch.column(2).to_pylist()
-        for g, k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(lines)):
+        for g, k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_hashes(lines)):
             if g != bucket:
                 if len(keys) > 1:
                     out += link_lines(keys, sets)
