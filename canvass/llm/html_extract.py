@@ -34,6 +34,9 @@ ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 NAME = re.compile(r"[a-z]+")
 # Tags by what they do to the text flow
 HIDDEN = {"script", "style", "noscript", "template", "iframe", "object", "svg", "canvas", "textarea", "select", "title"}
+# hidden elements whose content is no markup: it runs to their own end tag, whatever '<' or quotes it holds
+RAW = {t: re.compile(rf"</{t}(?=[\t\n\f\r />]|\Z)", re.I | re.A)
+       for t in ("script", "style", "noscript", "iframe", "textarea", "title")}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "button", "caption", "dd", "details", "dialog", "div", "dl",
          "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header",
          "hgroup", "hr", "html", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "search", "section", "summary",
@@ -103,7 +106,7 @@ def leaf_blocks(page: str) -> list[Block]:
             size += n
             linked += n if links else 0
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         if hidden is None:
             chars(page[at:m.start()])
         at = m.end()
@@ -111,6 +114,9 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in RAW and not m[1] and not m[3].endswith("/"):
+            end = RAW[tag].search(page, at)
+            at = end.start() if end else len(page)
         if hidden is not None:
             if m[1] and tag == hidden:
                 hidden = None

@@ -47,6 +47,18 @@ def test_blocks():
     assert texts == ["a&b <i> xy z", "two", "tail", "c", "1 < 2"]
 
 
+def test_hidden_elements_hold_no_markup():
+    def texts(page):
+        return [b.text for b in hx.leaf_blocks(page)]
+
+    for hidden in ("<script>for(i=0;i<n;i++){x()}</script>", "<SCRIPT>i<n</Script >", "<title>x<y notes</title>",
+                   """<script>s='<a href="'+u;t='</scripts>'</script>""", "<script><!-- i<n</script>", "<style>a::before{content:'<b'}</style>",
+                   "<textarea>1 <b \"</textarea>", "<iframe><p '</iframe>", "<noscript><img alt=\"</noscript>",
+                   "<svg><script>i<n</script><g/></svg>", "<template><style>'<a \"'</style></template>"):
+        assert texts(f"<p>one</p>{hidden}<p>it's \"two\"</p>") == ["one", "it's \"two\""], hidden
+    assert texts("<p>one</p><script>i<n") == ["one"] and texts("<p>one<title>a</titl") == ["one"]
+
+
 def test_edge_cases_and_no_rows(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "u", "plain text only, nothing else."), (3, "u", "plain text only, nothing else."),
             (None, "u", "<article>" + "<p>word word word word.</p>" * 20_000), (5, "u", "<div>" * 3000 + "<p>deep" + "</div>" * 3000),
