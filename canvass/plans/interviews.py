@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import option_lists
 from ..schema import SUBJECT
-from ..sources.bindings import line_digest_columns, page_tag_stream
+from ..sources.bindings import numbered_rows, page_tag_stream
 from ..sources.documents import (documents_to_stream, grid, interview_document,
                                  materialize_stream, question, tag)
 from ..sources.tables import read_table
@@ -105,8 +105,9 @@ def item_interviews(spark, sf_dir):
     block (loop prefix I_1_), then a closing DONE item (I_2_)."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                     "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
-    # interview id = digest of the row: no file listing, any layout
-    sid = F.md5(F.concat_ws("|", *line_digest_columns(li)))
+    # interview id = digest of the row and its number among equal rows: no file listing, any layout
+    li = numbered_rows(li)
+    sid = F.md5(F.to_json(F.struct(*sorted(li.columns))))
     header = {"SubjectNum": F.concat_ws("-", F.col("l_orderkey").cast("string"),
                                         F.col("l_linenumber").cast("string")),
               "Upload": F.date_format("l_shipdate", ISO)}

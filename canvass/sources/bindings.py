@@ -7,7 +7,7 @@ All of them are narrow per-row projections of one scan (no shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import ANSWER, QUESTION
@@ -95,11 +95,22 @@ def order_header_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.lit("text").alias("attribute"), "value"))
 
 
-PLACE_BITS = 40   # a line's place in its order is a hash of the row, in this many bits
+PLACE_BITS = 40   # a line's block in its order goes by a hash of the row, in this many bits
+RANK_BITS = 31    # a line's place in its block
 
 
-def line_digest_columns(df: DataFrame) -> list:
-    return [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]
+COPY, COPY_STEP = "__copy", 1 << 16
+
+
+def numbered_rows(df: DataFrame) -> DataFrame:
+    """``df`` with ``__copy``: equal rows count 0, 1, 2, ... They are counted, not
+    ranked, so many equal rows never meet in one window, and are dealt out again in steps."""
+    times, high = F.col("__times"), F.col("__high")
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__times"))
+    steps = counted.select("*", F.explode(F.expr(f"sequence(0L, (__times - 1) div {COPY_STEP})")).alias("__high"))
+    last = F.least(times - high * COPY_STEP, F.lit(COPY_STEP)) - 1
+    low = steps.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("__low"))
+    return low.select(*df.columns, (high * COPY_STEP + F.col("__low")).alias(COPY))
 
 
 def lineitem_stream(spark: SparkSession, sf_dir: str, with_header: bool = False) -> DataFrame:
@@ -107,8 +118,9 @@ def lineitem_stream(spark: SparkSession, sf_dir: str, with_header: bool = False)
 
     Line rows: ``FullVariable = I_<linenumber>_<var>`` followed by its
     ``QuestionAnswer`` (omitted when the cell is null = unanswered). Lines of an
-    order go by a hash of the row, which needs no file listing and
-    holds for any file layout.
+    order go by a hash of the row and of its number among equal rows, which needs no
+    file listing and holds for any file layout; lines whose hashes are equal still have
+    places of their own.
 
     An order is cut into as many blocks as its lines fill (one for nearly all
     orders, by a count per order), so a block holds about ``span`` rows and the
@@ -122,13 +134,16 @@ def lineitem_stream(spark: SparkSession, sf_dir: str, with_header: bool = False)
     span = block_span(spark)
     n = 2 * len(LINE_VARIABLES)
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", *LINE_VARIABLES)
-    hashed = F.shiftrightunsigned(F.xxhash64(*line_digest_columns(li)), 64 - PLACE_BITS)
-    li = li.select(F.col("l_orderkey").alias("subject_id"), hashed.alias("__place"), "l_linenumber", *LINE_VARIABLES)
+    cells = ["l_linenumber", *LINE_VARIABLES]
+    li = numbered_rows(li.select(F.col("l_orderkey").alias("subject_id"), *cells))
+    li = li.withColumn("__place", F.shiftrightunsigned(F.xxhash64(*sorted(li.columns)), 64 - PLACE_BITS))
     sizes = li.groupBy("subject_id").agg(F.ceil(F.count(F.lit(1)) * F.lit(n) / F.lit(span)).alias("__blocks"))
     li = li.join(sizes, "subject_id")
     li = li.withColumn("block", F.shiftright(F.col("__place") * F.col("__blocks"), PLACE_BITS))
-    li = li.withColumn("__base", F.lit(HEADER_ROWS) + F.col("__place") * F.lit(n)).drop("__place", "__blocks")
-    li = li.repartition("subject_id", "block")
+    li = li.drop("__blocks").repartition("subject_id", "block")
+    rank = F.row_number().over(Window.partitionBy("subject_id", "block").orderBy("__place", *cells, COPY)) - 1
+    li = li.withColumn("__base", F.lit(HEADER_ROWS) + (F.shiftleft(F.col("block"), RANK_BITS) + rank) * F.lit(n)) \
+        .drop("__place", COPY)
     base = F.col("__base")
     rows = []
     for j, v in enumerate(LINE_VARIABLES):

@@ -60,3 +60,40 @@ def test_line_records_exact_on_a_multi_file_table(spark, tmp_path):
                            F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate")))
     assert len(li.inputFiles()) == 1 and len(spark.read.parquet(str(d / "lineitem.parquet")).inputFiles()) >= 3
     assert got == want
+
+
+@pytest.mark.parametrize("span, bits", [(None, None), ("3", None), (None, 1)])
+def test_repeated_lines_and_equal_places(spark, tmp_path, monkeypatch, span, bits):
+    """Equal rows, and different rows of one hash, are lines and interviews of their own."""
+    import shutil
+    from decimal import Decimal
+
+    import duckdb
+
+    from canvass.sources import bindings
+
+    d = tmp_path / "sf"
+    d.mkdir()
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").where("l_orderkey < 200")
+    again = li.where("l_orderkey < 100")
+    li.union(again).union(again.where("l_linenumber = 1")).write.parquet(str(d / "lineitem.parquet"))
+    shutil.copy(f"{SF_SMALL}/orders.parquet", d / "orders.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW lineitem AS FROM '{d}/lineitem.parquet/*.parquet'")
+    con.sql(f"CREATE VIEW orders AS FROM '{d}/orders.parquet'")
+    qs, oracles = all_queries()
+
+    def plain(rows):
+        return sorted(tuple(str(float(v)) if isinstance(v, (int, float, Decimal)) else str(v) for v in r) for r in rows)
+
+    if bits:
+        monkeypatch.setattr(bindings, "PLACE_BITS", bits)
+    if span:
+        spark.conf.set("canvass.stream.blockSpan", span)
+    try:
+        for name in ("grp1_line_records", "grp1_records_per_order", "jn1_header_broadcast", "d37_recruit_items_from_xml"):
+            assert plain(qs[name](spark, str(d)).collect()) == plain(con.sql(oracles[name]).fetchall()), name
+        places = bindings.lineitem_stream(spark, str(d)).select("subject_id", "seq")
+        assert places.count() == places.distinct().count()
+    finally:
+        spark.conf.unset("canvass.stream.blockSpan")
