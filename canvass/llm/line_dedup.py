@@ -32,6 +32,8 @@ BANDS, ROWS = 12, 5       # recall 1 - (1 - 0.8^5)^12 = 0.991 at the threshold,
 SEED = 20240501
 CHUNK = 1 << 16           # shingles at a time: they stay in the processor's cache
 FLUSH = 1 << 20           # band entries that a task packs at a time
+BLOCK = 4096              # lines of a bucket that one task compares with each other
+BLOCK_CHARS = 1 << 20     # and their characters, in a bucket of more lines
 PARTS = 16                # blob groups for each shuffle partition
 
 
@@ -153,10 +155,10 @@ def _bands(parts: int):
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blobs sorted by part -> (bucket, number) for the bands that two or more different
-    lines share, and (null, number) for exact copies. A bucket is named by its lines,
+    """Blobs sorted by part -> (bucket, number, n) for the bands that two or more (n) different
+    lines share, and (null, number, null) for exact copies. A bucket is named by its lines,
     so equal ones of several bands fall together."""
-    schema = pa.schema([("bucket", pa.int64()), ("number", pa.int64())])
+    schema = pa.schema([("bucket", pa.int64()), ("number", pa.int64()), ("n", pa.int64())])
 
     def found(blobs: list[bytes]):
         e = np.frombuffer(b"".join(blobs), ENTRY)
@@ -166,14 +168,15 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again[1:] = (band[1:] == band[:-1]) & (line[1:] == line[:-1])
         copies = np.unique(line[again & (band == mix(line.copy()))])
         if len(copies):
-            yield table(schema, pa.nulls(len(copies), pa.int64()), copies.view(np.int64))
+            none = pa.nulls(len(copies), pa.int64())
+            yield table(schema, none, copies.view(np.int64), none)
         band, line = band[~again], line[~again]
         at, n = runs_of(band)
         many = n > 1
         if many.any():
             line, n = line[np.repeat(many, n)], n[many]
             name = mix(np.add.reduceat(mix(line.copy()), np.cumsum(n) - n) + n.astype(np.uint64))
-            yield table(schema, np.repeat(name, n).view(np.int64), line.view(np.int64))
+            yield table(schema, np.repeat(name, n).view(np.int64), line.view(np.int64), np.repeat(n, n))
 
     part, blobs = None, []
     for b in batches:
@@ -214,8 +217,13 @@ def in_both(a: np.ndarray, b: np.ndarray) -> int:
 
 def link_lines(keys: list, sets: list[np.ndarray], similarity: float = SIMILARITY) -> list[tuple]:
     """Links that connect all lines of a bucket that are at least ``similarity`` alike
-    (exact Jaccard over shingle sets). A line is compared with a part's members,
-    those with most hits first, until one links it to that part."""
+    (exact Jaccard over shingle sets)."""
+    return linked_parts(keys, sets, similarity)[0]
+
+
+def linked_parts(keys: list, sets: list[np.ndarray], similarity: float = SIMILARITY) -> tuple[list[tuple], list]:
+    """Those links, and the parts they make, each as [hits, member]. A line is compared
+    with a part's members, those with most hits first, until one links it to that part."""
     parts: list[list[list[int]]] = []                # of [hits, member]
     links = []
     for i in sorted(range(len(sets)), key=lambda i: len(sets[i])):
@@ -238,7 +246,7 @@ def link_lines(keys: list, sets: list[np.ndarray], similarity: float = SIMILARIT
             else:
                 rest.append(p)
         parts = [*rest, own]
-    return links
+    return links, parts
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,6 +270,75 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield table(schema, *map(list, zip(*out)))
 
 
+def _verify_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, key, line) sorted by block -> links (null, a, b), and (block, a, null) with
+    the line of each block that most lines of its largest part were linked by."""
+    schema = pa.schema([("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
+    block, keys, sets = None, [], []
+
+    def found():
+        links, parts = linked_parts(keys, sets)
+        hub = max(parts, key=len)[0][1]
+        return table(schema, [None] * len(links) + [block], [a for a, _ in links] + [keys[hub]], [b for _, b in links] + [None])
+
+    for batch in slices(batches, "line"):
+        for g, k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_hashes(batch.column(2).to_pylist())):
+            if g != block:
+                if keys:
+                    yield found()
+                block, keys, sets = g, [], []
+            keys.append(k)
+            sets.append(x)
+    if keys:
+        yield found()
+
+
+class Apart:
+    """Lines outside their bucket's largest component, to be compared with others."""
+
+    def __init__(self, lines: list[tuple[bytes, bytes, np.ndarray]]):
+        self.keys, self.roots, sets = map(list, zip(*lines))
+        self.size = np.array([len(x) for x in sets])
+        hashes, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.size)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.owner = hashes[order], owner[order]
+        self.linked: set[tuple[bytes, bytes]] = set()
+
+    def links(self, key: bytes, root: bytes, x: np.ndarray, inside: bool, similarity: float = SIMILARITY) -> list[tuple]:
+        """New links of roots by one more line; of two lines ``inside`` the set the smaller key is compared."""
+        lo, hi = np.searchsorted(self.hashes, x), np.searchsorted(self.hashes, x, side="right")
+        n = hi - lo
+        at = np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)
+        both = np.bincount(self.owner[at], minlength=len(self.size))
+        out = []
+        for i in np.flatnonzero(both >= similarity * (self.size + len(x) - both)).tolist():
+            pair = (self.roots[i], root)
+            if pair[0] != root and pair not in self.linked and not (inside and key >= self.keys[i]):
+                self.linked.add(pair)
+                out.append(pair)
+        return out
+
+
+def _verify_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pair, side, key, root, inside, line) sorted by pair and side: the lines of side 0 are
+    held (a block of them), those of side 1 compared with them one by one -> links (a, b)."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    pair, held, apart = None, [], None
+    for batch in slices(batches, "line"):
+        out = []
+        pairs, side, key, root, inside, line = (batch.column(i).to_pylist() for i in range(6))
+        for g, s, k, r, i, x in zip(pairs, side, key, root, inside, shingle_hashes(line)):
+            if g != pair:
+                pair, held, apart = g, [], None
+            if s == 0:
+                held.append((k, r, x))
+            elif held:
+                apart = apart or Apart(held)
+                out += apart.links(k, r, x, i)
+        if out:
+            yield table(schema, *map(list, zip(*out)))
+
+
 # --- Spark flow ---------------------------------------------------------------------
 
 def _candidates(sieve):
@@ -297,6 +374,52 @@ def _places(sieve):
     return run
 
 
+def _blocks():
+    size = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("line")) / BLOCK_CHARS))
+    return F.greatest(size, F.lit(1)).cast("long")
+
+
+def _number(blocks: str):
+    return F.pmod(F.xxhash64("key"), F.col(blocks))
+
+
+def _large_links(lines: DataFrame) -> DataFrame:
+    """``lines(bucket, key, line)`` of buckets over BLOCK lines -> links (a, b) that connect
+    what link_lines would connect, with no task that holds a bucket: links inside blocks,
+    then between the blocks' hubs; after that, every line outside the largest
+    component of its bucket is compared with all lines of the bucket in other components."""
+    sizes = lines.groupBy("bucket").agg(_blocks().alias("blocks"))
+    big = shared_table(lines.join(sizes, "bucket").withColumn("no", _number("blocks"))
+                       .withColumn("block", F.xxhash64("bucket", "no")))
+    inside = shared_table(big.select("block", "key", "line").repartition("block").sortWithinPartitions("block", "key")
+                          .mapInArrow(_verify_blocks, "block long, a binary, b binary"))
+    hubs = big.join(inside.where("b is null").select("block", F.col("a").alias("key")), ["block", "key"])
+    between = (hubs.select("bucket", "key", "line").repartition("bucket").sortWithinPartitions("bucket", "key")
+               .mapInArrow(_verify, "a binary, b binary"))
+    links = shared_table(inside.where("b is not null").select("a", "b").union(between))
+    big = big.join(components(links).withColumnRenamed("node", "key"), "key", "left") \
+        .withColumn("root", F.coalesce("root", "key"))
+    big = shared_table(big)
+    main = big.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket") \
+        .agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+    big = big.join(main, "bucket").withColumn("apart", F.col("root") != F.col("main"))
+    apart = big.where("apart")
+    chunks = shared_table(apart.groupBy("bucket").agg(_blocks().alias("chunks")))
+    if not chunks.head(1):
+        return links
+
+    def numbers(n: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    held = apart.join(chunks, "bucket").withColumn("chunk", _number("chunks")).drop("no") \
+        .withColumn("no", numbers("blocks")).withColumn("side", F.lit(0))
+    other = big.join(chunks, "bucket").withColumn("chunk", numbers("chunks")).withColumn("side", F.lit(1))
+    cross = held.unionByName(other, allowMissingColumns=True) \
+        .select(F.xxhash64("bucket", "chunk", "no").alias("pair"), "side", "key", "root", "apart", "line") \
+        .repartition("pair").sortWithinPartitions("pair", "side", "key")
+    return links.union(shared_table(cross.mapInArrow(_verify_apart, "a binary, b binary").distinct()))
+
+
 def duplicate_lines(docs: DataFrame) -> DataFrame:
     """``(row, no)`` of every line that goes; ``row`` is row_key(doc_id, text)."""
     share = docs.sparkSession.sparkContext.broadcast
@@ -305,14 +428,17 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
                       F.col("text").cast("string").alias("t"))
     buckets = shared_table(src.select("t").mapInArrow(_bands(parts), "part int, blob binary")
                            .repartition("part").sortWithinPartitions("part")
-                           .mapInArrow(_buckets, "bucket long, number long").distinct())
+                           .mapInArrow(_buckets, "bucket long, number long, n long").distinct())
     near = buckets.where("bucket is not null")
     once = shared_table(src.select("t")
                         .mapInArrow(_candidates(share(sieve_of(near, "number"))), "number long, key binary, line string")
                         .join(near.select("number").distinct(), "number", "left_semi").dropDuplicates(["key"]))
-    links = shared_table(near.join(once, "number").select("bucket", "key", "line")
+    links = shared_table(near.where(F.col("n") <= BLOCK).join(once, "number").select("bucket", "key", "line")
                          .repartition("bucket").sortWithinPartitions("bucket", "key")
                          .mapInArrow(_verify, "a binary, b binary").distinct())
+    large = near.where(F.col("n") > BLOCK)
+    if large.head(1):
+        links = links.union(_large_links(large.join(once, "number").select("bucket", "key", "line")))
     roots = components(links).withColumnRenamed("node", "key")
     places = shared_table(src.mapInArrow(_places(share(sieve_of(buckets, "number"))), "key binary, id long, row binary, no int"))
     rooted = places.join(roots, "key", "left").select(

@@ -85,3 +85,51 @@ def test_edge_cases(spark):
 def test_no_rows(spark):
     assert line_dedup.line_dedup(no_docs(spark)).count() == 0
     assert line_dedup.remove_duplicate_lines(no_docs(spark)).count() == 0
+
+
+def test_large_buckets_in_blocks(spark, monkeypatch):
+    """Buckets of more lines than a block give the same links' components as one task."""
+    import random
+
+    rng = random.Random(3)
+    lines = [f"posted by user {rng.randint(0, 999999):06d} on the old forum of the town, reply {i % 3} of three to the first topic"
+             for i in range(60)]
+    lines += [f"an other line with {''.join(rng.choices('abcdefgh', k=9))} words, chain {'xyz' * (i % 9)} of them" for i in range(60)]
+    for i in range(40):                                  # neighbours alike, ends not
+        lines.append(" ".join(f"w{j}q" for j in range(i, i + 30)))
+    lines = sorted(set(lines))
+    keys = [line_dedup.line_key(x) for x in lines]
+    frame = spark.createDataFrame([(b, k, x) for b in (1, 2) for k, x in zip(keys, lines) if b == 1 or k[0] % 3], "bucket long, key binary, line string")
+
+    def roots(links):
+        up = {k: k for k in keys}
+
+        def top(k):
+            while up[k] != k:
+                k = up[k]
+            return k
+        for a, b in links:
+            up[top(bytes(a))] = top(bytes(b))
+        groups = {}
+        for k in keys:
+            groups.setdefault(top(k), set()).add(k)
+        return sorted(map(sorted, groups.values()))
+
+    sets = line_dedup.shingle_hashes(lines)
+    want = roots(line_dedup.link_lines(keys, sets))
+    assert any(len(g) > 20 for g in want) and len(want) > 3
+    for block in (1, 5, 30):
+        monkeypatch.setattr(line_dedup, "BLOCK", block)
+        assert roots(map(tuple, line_dedup._large_links(frame).collect())) == want
+
+
+def test_no_task_holds_a_large_bucket(spark, monkeypatch):
+    docs = documents(spark, "/root/testdata/sf0.001").limit(60)
+    docs = docs.union(spark.createDataFrame([(9000 + i, f"posted by user {i:06d} on the old forum of the town, reply to the first topic",
+                                              "en", "a", 1) for i in range(90)], docs.schema))
+    want = sorted(map(str, line_dedup.line_dedup(docs).collect()))
+    seen = []
+    large = line_dedup._large_links
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    monkeypatch.setattr(line_dedup, "_large_links", lambda lines: seen.append(1) or large(lines))
+    assert sorted(map(str, line_dedup.line_dedup(docs).collect())) == want and seen
