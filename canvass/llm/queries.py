@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_format, decontaminate, html_extract, license_scan, line_dedup, mixing, quality, simhash, suffix_dedup, \
-    url_filter
+    url_filter, warc
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,5 +84,13 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written and read back."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", F.col("html").alias("payload"))
+    return warc.page_records(spark, warc.write_archives(pages))
+
+
+ORACLES["op12_warc"] = warc.ORACLE
 ORACLES["op5_chat_format"] = chat_format.ORACLE
 ORACLES["op8_quality_rules"] = quality.ORACLE
