@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, html_extract, license_scan, line_dedup, mixing, quality, simhash, suffix_dedup, \
-    url_filter, warc
+from . import chat_format, decontaminate, html_extract, license_scan, line_dedup, mixing, periodic, quality, simhash, \
+    suffix_dedup, url_filter, warc
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,13 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, about one in ten with repeats planted in its text."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return periodic.run_digests(periodic.collapse_runs(periodic.plant_repeats(docs)))
+
+
 @query
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, written and read back."""
