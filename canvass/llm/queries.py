@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, html_extract, license_scan, line_dedup, mixing, periodic, quality, simhash, \
-    suffix_dedup, url_filter, warc
+from . import chat_format, collocations, decontaminate, html_extract, license_scan, line_dedup, mixing, periodic, \
+    quality, simhash, suffix_dedup, url_filter, warc
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,6 +98,12 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(spark, warc.write_archives(pages))
 
 
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+ORACLES["op13_collocations"] = collocations.ORACLE
 ORACLES["op12_warc"] = warc.ORACLE
 ORACLES["op5_chat_format"] = chat_format.ORACLE
 ORACLES["op8_quality_rules"] = quality.ORACLE
