@@ -31,7 +31,7 @@ LONGEST = 4
 TOP = 2000
 COVERED_PCT = 80
 SHARD_BYTES = 4 << 20     # of text with a dictionary of its own
-FLUSH = 4 << 20           # packed phrases that a task holds
+FLUSH = 1 << 20           # packed phrases that a task holds
 RANGE_WORDS = 1 << 24     # words of the corpus for each range of quotients, at least
 PAIR_BITS = 27            # the bitmap of frequent pairs: 16 MB
 PAIR_SLICES = 64
