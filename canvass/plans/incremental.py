@@ -11,16 +11,20 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sinks.writers import append_new_rows, append_table, export_csv, fan_out, load_days
+from ..sinks.versions import load_range, read_table_version
 from ..sources.documents import documents_to_stream, materialize_stream, question
+from ..sources.landing import land, read_container, stream_container
 from ..streaming.ingest import read_target, run_incremental
 from .catalog import BY_ID
 from .interviews import extra_category, order_interviews
 from .registry import ORACLES, query
 from .spec import spec_rejects, specs_from_json, specs_to_json
+from .survey_load import load_survey
 
 OUT_TS = "yyyy-MM-dd HH:mm:ss"
 TS_COLS = ("Upload", "VisitStart", "VisitEnd", "Date")
@@ -118,22 +122,112 @@ def q_rejects(spark, sf_dir):
     return spec_rejects(BY_ID["D01"], materialize_stream(documents_to_stream(docs)), docs)
 
 
-@query("src4_landing_text_ids", """
-SELECT 'AB-' || p_partkey AS subject_id, p_name AS answer FROM part WHERE p_partkey <= 200
+def _named_documents(spark, sf_dir):
+    """Documents named by text (parts) and by number (suppliers), over 60 upload days; one in
+    50 parts has no upload time."""
+    def docs(table, key, prefix, name):
+        k = F.col(key)
+        day = F.date_add(F.lit("2024-01-01").cast("date"), (k % 60).cast("int")).cast("timestamp")
+        return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(
+            F.concat(F.lit(prefix), k.cast("string")).alias("subject_id"),
+            F.when((k % 50 != 0) | (F.lit(prefix) == ""), day).alias("upload_ts"),
+            F.concat(F.lit("<I>"), question("q", F.col(name)), F.lit("</I>")).alias("xml"))
+
+    return docs("part", "p_partkey", "AB-", "p_name").union(docs("supplier", "s_suppkey", "", "s_name"))
+
+
+def _answers(docs):
+    return documents_to_stream(docs).where("element = 'QuestionAnswer'").select("subject_id", F.col("value").alias("answer"))
+
+
+ALL_ANSWERS = """
+SELECT 'AB-' || p_partkey AS subject_id, p_name AS answer FROM part
 UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name FROM supplier
-""")
+"""
+
+
+@query("src4_landing_text_ids", ALL_ANSWERS)
 def q_landing(spark, sf_dir):
-    """SRC-4: a landing folder whose documents are named by text and by number."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/src4-{uuid.uuid4().hex}"
-    p = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_partkey <= 200") \
-        .select(F.concat(F.lit("AB-"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("v"))
-    s = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("v"))
-    docs = p.union(s).select("id", F.concat(F.lit("<I>"), question("q", F.col("v")), F.lit("</I>")).alias("value"))
-    docs.write.partitionBy("id").text(path)
-    landed = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"id=([^/]+)/", 1)
-    stream = documents_to_stream(landed.select(name.alias("subject_id"), F.col("value").alias("xml")))
-    return stream.where("element = 'QuestionAnswer'").select("subject_id", F.col("value").alias("answer"))
+    """SRC-4: all documents of a container, named by text and by number."""
+    path = _scratch(spark, "src4")
+    land(_named_documents(spark, sf_dir), path)
+    return _answers(read_container(spark, path, ["subject_id", "xml"]))
+
+
+@query("src2_landing_window", """
+SELECT 'AB-' || p_partkey AS subject_id, p_name AS answer FROM part WHERE p_partkey % 60 BETWEEN 9 AND 15 AND p_partkey % 50 <> 0
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name FROM supplier WHERE s_suppkey % 60 BETWEEN 9 AND 15
+""")
+def q_landing_window(spark, sf_dir):
+    """SRC-2: a window of upload days; the source plans those days' files only."""
+    path = _scratch(spark, "src2")
+    land(_named_documents(spark, sf_dir), path)
+    days = F.col("upload_date").between("2024-01-10", "2024-01-16")
+    return _answers(read_container(spark, path, ["subject_id", "xml", "upload_date"]).where(days))
+
+
+@query("src4_landing_stream", ALL_ANSWERS)
+def q_landing_stream(spark, sf_dir):
+    """SRC-4 as a stream: two deliveries, the second with earlier upload times; each is read
+    once and loaded under the micro-batch's own id."""
+    base = _scratch(spark, "src4s")
+    docs = _named_documents(spark, sf_dir)
+    late = F.coalesce(F.col("upload_ts") < "2024-01-15", F.lit(True))
+
+    def write(batch, epoch):
+        load_range(_answers(batch).withColumn("day", F.lit("all")), f"{base}/t", day_col="day", append=True,
+                   load_id=f"batch-{epoch}")
+
+    for part in (docs.where(~late), docs.where(late)):
+        land(part, f"{base}/landed")
+        stream_container(spark, f"{base}/landed").writeStream.foreachBatch(write) \
+            .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return read_table_version(spark, f"{base}/t").drop("day")
+
+
+@query("snk5_failed_load_keeps_old_state", """
+WITH o AS (SELECT o_orderkey AS subject_id, CASE WHEN o_orderkey % 9 <> 0 THEN strftime(o_orderdate, '%Y-%m-01') END AS upload_date
+           FROM orders),
+old AS (SELECT * FROM o WHERE subject_id % 4 <> 0)
+SELECT 'after the failure' AS state, * FROM old
+UNION ALL SELECT 'after the repeat', * FROM old WHERE upload_date NOT BETWEEN '1994-01-01' AND '1995-12-01' OR upload_date IS NULL
+UNION ALL SELECT 'after the repeat', * FROM o WHERE upload_date BETWEEN '1994-01-01' AND '1995-12-01'
+""")
+def q_failed_load(spark, sf_dir):
+    """SNK-5: a load of two years fails midway, and is repeated. Readers see the old state until
+    the new one is published; rows without a day stay throughout."""
+    path = _scratch(spark, "snk5")
+    key = F.col("o_orderkey")
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        key.alias("subject_id"),
+        F.when(key % 9 != 0, F.trunc("o_orderdate", "month")).cast("string").alias("upload_date")).repartition("upload_date")
+    load_range(o.where("subject_id % 4 <> 0"), path)
+    years = o.where("upload_date between '1994-01-01' and '1995-12-01'")
+    broken = years.withColumn("subject_id", F.when(F.col("upload_date") == "1995-12-01", F.raise_error(F.lit("lost")).cast("long"))
+                              .otherwise(F.col("subject_id")))
+    try:
+        load_range(broken, path, "1994-01-01", "1995-12-01")
+        raise AssertionError("the load has to fail")
+    except PySparkException:
+        before = read_table_version(spark, path)
+    load_range(years, path, "1994-01-01", "1995-12-01")
+    cols = ["subject_id", "upload_date"]
+    return before.select(F.lit("after the failure").alias("state"), *cols) \
+        .union(read_table_version(spark, path).select(F.lit("after the repeat"), *cols))
+
+
+@query("snk5_survey_redelivered", ORACLES["d01_recruit_profile_from_xml"])
+def q_redelivered(spark, sf_dir):
+    """SNK-5: each third interview is delivered twice, first with other answers, and the load runs twice; every
+    interview is in the table once, with its last delivery."""
+    base = _scratch(spark, "snk5r")
+    docs = spark.read.parquet(_landing(spark, sf_dir, base)).withColumn("upload_ts", F.date_trunc("month", "upload_ts"))
+    first = docs.where("subject_id % 3 = 0").withColumn("upload_ts", F.col("upload_ts") - F.expr("interval 1 hour")) \
+        .withColumn("xml", F.replace("xml", F.lit("Enumerator_Name"), F.lit("Region")))
+    docs.union(first).write.parquet(f"{base}/landed")
+    for _ in range(2):
+        load_survey(spark, f"{base}/landed", [BY_ID["D01"]], f"{base}/out", load=load_range)
+    return _format(read_table_version(spark, f"{base}/out/{BY_ID['D01'].sink}")).drop("upload_date")
 
 
 def _scratch(spark, name):

@@ -4,12 +4,13 @@ landing documents -> day-range filter (partition-pruned) -> parse once
 (checkpointed answer stream) -> every dataset spec -> idempotent load by
 upload day; unparsable documents and interviews that a spec cannot use go to a
 rejects table, with dataset and reason. Re-running a range replaces exactly those
-days, in the rejects too, and a day that has become empty loses its rows.
+days, in the rejects too, and a day that has become empty loses its rows. An
+interview that was delivered more than once counts once, with its last delivery.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,13 +36,22 @@ def _days(docs: DataFrame, first_day: str | None, last_day: str | None) -> DataF
     return out
 
 
+def last_deliveries(docs: DataFrame) -> DataFrame:
+    """One row for each interview: the delivery with the latest upload time (ties: the
+    greater document). Partial aggregates: a hot interview is one row a task."""
+    last = docs.groupBy(SUBJECT).agg(F.max(F.struct("upload_ts", "xml")).alias("__last"))
+    return last.select(SUBJECT, "__last.upload_ts", "__last.xml")
+
+
 def load_survey(spark: SparkSession, landing: str, specs: Sequence[SurveySpec], out_root: str, *,
                 first_day: str | None = None, last_day: str | None = None,
-                run_date: str | None = None) -> dict[str, int]:
+                run_date: str | None = None, load: Callable[..., int] = load_days) -> dict[str, int]:
     """Load every dataset of one survey; returns rows loaded per dataset
     (counted during the write). ``run_date`` gives the parity Period (run
-    month); without it no Period column is added."""
-    docs = _days(spark.read.parquet(landing), first_day, last_day).select(SUBJECT, "upload_ts", "xml")
+    month); without it no Period column is added. ``load`` writes a table:
+    ``load_days`` (plain partition folders) or ``versions.load_range`` (readers see
+    each table's range change at once)."""
+    docs = last_deliveries(_days(spark.read.parquet(landing), first_day, last_day).select(SUBJECT, "upload_ts", "xml"))
     days = docs.select(SUBJECT, F.to_date("upload_ts").alias("upload_date"))
     # parsed once: the checkpointed stream holds the answers and the parse errors
     parsed = materialize_stream(documents_to_stream(docs, keep_errors=True))
@@ -60,6 +70,6 @@ def load_survey(spark: SparkSession, landing: str, specs: Sequence[SurveySpec],
             out = out.select("Period", *[F.col(f"`{c}`") for c in out.columns if c != "Period"])
         # a quiet day in one file, a hot day cut into several ranges
         out = out.repartitionByRange("upload_date", SUBJECT)
-        counts[spec.sink] = load_days(out, f"{out_root}/{spec.sink}", first_day, last_day)
-    load_days(rejects.join(days, SUBJECT), f"{out_root}/_rejects", first_day, last_day)
+        counts[spec.sink] = load(out, f"{out_root}/{spec.sink}", first_day, last_day)
+    load(rejects.join(days, SUBJECT), f"{out_root}/_rejects", first_day, last_day)
     return counts

@@ -51,6 +51,9 @@ def fan_out(df: DataFrame, path: str, key: str, out_key: str = "table",
      .write.mode(mode).partitionBy(out_key).parquet(path))
 
 
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"    # Spark's folder for rows without a partition value
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -72,18 +75,25 @@ def load_days(df: DataFrame, path: str, first_day: str | None = None, last_day:
               day_col: str = "upload_date") -> int:
     """SNK-5 (a) for a requested range of days (an open end has no bound): afterwards
     the table holds ``df``'s rows for exactly those days, so a day that has
-    become empty loses its old rows. Returns the rows loaded. Only the list of
-    days and the count reach the driver."""
+    become empty loses its old rows. Rows without a day stay, unless the load is of
+    all days and has none. Returns the rows loaded. Only the list of days and the
+    counts reach the driver. Readers may see a load under way; ``versions.load_range``
+    publishes it at once."""
     from pyspark.sql import Observation
 
     spark = df.sparkSession
     obs = Observation()
-    load_partitions_idempotent(df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(
-        F.col(day_col).cast("string")).alias("days")), path, [day_col])
+    day = F.col(day_col).cast("string")
+    load_partitions_idempotent(df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(day).alias("days"),
+                                          F.count_if(day.isNull()).alias("dayless")), path, [day_col])
     fs, root = _hadoop_path(spark, path)
     for s in fs.listStatus(root):
         name, _, day = s.getPath().getName().partition("=")
-        if name == day_col and day not in obs.get["days"] and (first_day or "") <= day <= (last_day or "~"):
+        if day == NO_DAY:
+            old = first_day is None and last_day is None and not obs.get["dayless"]
+        else:
+            old = day not in obs.get["days"] and (first_day or "") <= day <= (last_day or "~")
+        if name == day_col and old:
             fs.delete(s.getPath(), True)
     return obs.get["rows"]
 
