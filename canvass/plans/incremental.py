@@ -10,6 +10,7 @@ Its oracle is the batch D01 oracle: the stream must produce the same table.
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ from ..sinks.writers import append_new_rows, append_table, export_csv, fan_out,
 from ..sinks.versions import load_range, read_table_version
 from ..sources.documents import documents_to_stream, materialize_stream, question
 from ..sources.landing import land, read_container, stream_container
-from ..streaming.ingest import read_target, run_incremental
+from ..streaming.corrections import corrected, current, load_corrections
+from ..streaming.ingest import read_landing_stream, read_target, run_incremental
 from .catalog import BY_ID
 from .interviews import extra_category, order_interviews
 from .registry import ORACLES, query
@@ -230,6 +232,25 @@ def q_redelivered(spark, sf_dir):
     return _format(read_table_version(spark, f"{base}/out/{BY_ID['D01'].sink}")).drop("upload_date")
 
 
+@query("str1_corrections", ORACLES["d01_recruit_profile_from_xml"])
+def q_corrections(spark, sf_dir):
+    """STR-1: each third interview first comes with other answers and is corrected in a later run, which
+    also brings older deliveries of each fifth; the table holds every interview as corrected."""
+    base = _scratch(spark, "str1c")
+    docs = spark.read.parquet(_landing(spark, sf_dir, base)).withColumn("upload_ts", F.date_trunc("year", "upload_ts"))
+    third, fifth = F.col("subject_id") % 3 == 0, F.col("subject_id") % 5 == 0
+    wrong = F.replace("xml", F.lit("Enumerator_Name"), F.lit("Region"))
+    hour = F.expr("interval 1 hour")
+    runs = (docs.withColumn("xml", F.when(third, wrong).otherwise(F.col("xml"))),
+            docs.where(third).withColumn("upload_ts", F.col("upload_ts") + hour)
+            .union(docs.where(fifth & ~third).select("subject_id", F.col("upload_ts") - hour, wrong)))
+    for part in runs:
+        part.write.mode("append").parquet(f"{base}/landed")
+        load_corrections(corrected(read_landing_stream(spark, f"{base}/landed"), timedelta(days=3650)), BY_ID["D01"], f"{base}/t",
+                         f"{base}/checkpoint", post=_format)
+    return current(spark, f"{base}/t")
+
+
 def _scratch(spark, name):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
