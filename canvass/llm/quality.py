@@ -29,14 +29,13 @@ SALT = 0xD6E8FEB86659FD93
 class Limits:
     """A document fails the base rules with under ``min_words`` words or more than
     ``repeat_pct`` % of them in repeated windows. A line is above the limit if more
-    than ``line_docs`` and more than ``line_pct`` % of its host's distinct documents
-    have it. A document is depleted if under ``min_words`` words or under
+    than ``line_docs`` of its host's distinct documents have it, however many
+    documents the host has. A document is depleted if under ``min_words`` words or under
     ``left_pct`` % of them stand in lines that stay."""
 
     min_words: int = 20
     repeat_pct: int = 30
     line_docs: int = 10
-    line_pct: int = 1
     left_pct: int = 30
 
 
@@ -138,13 +137,10 @@ def frequent_lines(texts: DataFrame, limits: Limits) -> DataFrame:
     distinct (host, text). Counts are pre-aggregated on the map side, so a hot
     host or line is a row for each task; the join back is split by Spark where it
     is skewed."""
-    sizes = texts.groupBy("host").agg(F.count("*").alias("host_docs"))
     lines = texts.select("key", "host", F.explode(F.arrays_zip("line_hash", "line_words")).alias("l")) \
         .select("key", "host", F.col("l.line_hash").alias("h"), F.col("l.line_words").alias("words"))
-    often = (lines.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") > limits.line_docs)
-             .withColumnRenamed("host", "host2"))
-    often = often.join(sizes, often["host2"].eqNullSafe(sizes["host"])) \
-        .where(F.col("n") * 100 > F.col("host_docs") * limits.line_pct).select("host2", F.col("h").alias("h2"))
+    often = lines.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") > limits.line_docs) \
+        .select(F.col("host").alias("host2"), F.col("h").alias("h2"))
     return lines.join(often, lines["host"].eqNullSafe(often["host2"]) & (lines["h"] == often["h2"])) \
         .select("key", "h", "words")
 
@@ -233,11 +229,8 @@ dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM normal GROUP BY r),
 places AS (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8),
 windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, ws[i:i + 7]) AS n FROM places),
 repeats AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS j FROM windows WHERE n > 1) GROUP BY r),
-hosts AS (SELECT source, count(*) AS n FROM (SELECT DISTINCT source, raw FROM d) GROUP BY source),
 often AS (
-  SELECT l.source, form FROM (SELECT DISTINCT source, raw, form FROM normal) l
-  JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-  GROUP BY l.source, form, h.n HAVING count(*) > 10 AND count(*) * 100 > h.n),
+  SELECT source, form FROM (SELECT DISTINCT source, raw, form FROM normal) GROUP BY source, form HAVING count(*) > 10),
 gone AS (
   SELECT r, sum(len(ws))::BIGINT AS n FROM normal l JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.form = o.form GROUP BY r),
 base AS (

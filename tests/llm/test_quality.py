@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from canvass.llm import quality
 from canvass.llm.common import documents
 
@@ -15,9 +17,8 @@ def normal(line):
 
 
 def brute(rows, limits=quality.Limits()):
-    hosts, lines = Counter(), Counter()
+    lines = Counter()
     for source, text in {(r.source, r.text or "") if r.text is not None else (r.source, None) for r in rows}:
-        hosts[source] += 1
         for x in {normal(x) for x in (text or "").split("\n")} - {""}:
             lines[source, x] += 1
     out = []
@@ -33,7 +34,7 @@ def brute(rows, limits=quality.Limits()):
                 dup += x in seen
                 seen.add(x)
         gone = sum(len(WORD.findall(x)) for x in text.split("\n") if normal(x)
-                   and (n := lines[r.source, normal(x)]) > limits.line_docs and 100 * n > hosts[r.source] * limits.line_pct)
+                   and lines[r.source, normal(x)] > limits.line_docs)
         failed = len(w) < limits.min_words or 100 * len(marked) > limits.repeat_pct * len(w)
         left = len(w) - gone
         kept = not failed and left >= limits.min_words and 100 * left >= limits.left_pct * len(w)
@@ -62,6 +63,20 @@ def test_frequent_lines_and_edge_cases(spark):
     assert not any("Common line" in r.text for r in texts) and all(r.n_chars == len(r.text) for r in texts)
 
 
+def letters(*numbers):
+    """A word of its own (digits count as one in lines)."""
+    return "".join(chr(97 + int(d)) for n in numbers for d in f"{n:05d}")
+
+
+def test_a_line_counts_alike_in_small_and_large_hosts(spark):
+    """A passage that 12 documents share goes from all 12, whatever else their host holds."""
+    rows = [(h * 10_000 + i, (f"The passage that twelve documents share {h}\n" if i < 12 else "")
+             + " ".join(letters(h, i, j) for j in range(25)), "en", f"host{h}", 1) for h, n in ((1, 60), (2, 1300)) for i in range(n)]
+    got = quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    found = got.where("n_removed_words = 7").groupBy((F.col("doc_id") / 10_000).cast("int").alias("h")).count().collect()
+    assert {r.h: r["count"] for r in found} == {1: 12, 2: 12} and got.where("not kept").count() == 0
+
+
 def test_no_rows(spark):
     assert quality.quality_rules(no_docs(spark)).count() == 0
     assert quality.apply_quality_rules(no_docs(spark)).count() == 0
