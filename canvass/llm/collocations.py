@@ -30,8 +30,8 @@ MIN_COUNT = 30
 LONGEST = 4
 TOP = 2000
 COVERED_PCT = 80
-SHARD_BYTES = 4 << 20     # of text with a dictionary of its own
-FLUSH = 1 << 20           # packed phrases that a task holds
+SHARD_BYTES = 3 << 20     # of text with a dictionary of its own
+FLUSH = 1 << 19           # packed phrases that a task holds
 RANGE_WORDS = 1 << 24     # words of the corpus for each range of quotients, at least
 PAIR_BITS = 27            # the bitmap of frequent pairs: 16 MB
 PAIR_SLICES = 64
@@ -185,7 +185,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text]
         pairs = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(langs.dictionary) + lang
         distinct, local, counts = np.unique(pairs, return_inverse=True, return_counts=True)
-        piece = np.cumsum(ends_piece[data])[s]
+        piece = np.searchsorted(np.flatnonzero(ends_piece[data]), s)
         cut = np.flatnonzero((piece[1:] != piece[:-1]) | (text[1:] != text[:-1])) + 1
         seq = np.insert(local.astype(np.int32), cut, BREAK)
         columns = [coded.dictionary.take(pa.array(distinct // len(langs.dictionary))).cast(pa.string()),
