@@ -1,18 +1,23 @@
 """License scan by an exact set-similarity join of text blocks with templates.
 
-A block is a line. A template fits a block that holds at least ``threshold`` of its
-distinct words. Template words are ordered by how many blocks of the corpus hold
-them, rarest first; a block can only fit a template if it has one of the first
-n - c + 1 words (prefix filter, c the words it needs), at least c words of any
-template (length filter) and enough words left from its first shared one on
-(positional filter). What passes is counted exactly. Beside that, fixed phrases are
-found anywhere in the text.
+A template's blocks are all runs of consecutive words of a text that are as long as the
+template and a quarter more (its words / ``threshold``), whatever line breaks, blank
+lines or comment marks stand between them. A template fits a block that holds at least
+``threshold`` of its distinct words. Template words are ordered by how many texts of the
+corpus hold them, rarest first; a block can only fit a template if it has one of the
+first n - c + 1 words (prefix filter, c the words it needs), at least c places with any
+of its words near that one (length filter) and enough of them left from the block's
+start on (positional filter). What passes is counted exactly. Beside that, fixed phrases
+are found anywhere in the text.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from math import ceil
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -62,15 +67,13 @@ def hashes_of(words: list[str]) -> np.ndarray:
 
 
 class Words:
-    """All words of a batch of texts: bounds, text, line and hash."""
+    """All words of a batch of texts: bounds, text and hash."""
 
     def __init__(self, col: pa.Array, inside: np.ndarray, lower: np.ndarray):
         data, self.offsets = text_bytes(col)
         self.raw = lower[data]
         self.s, self.e, self.text = word_spans(self.raw, self.offsets, inside)
         self.hash = Rolling(self.raw).ranges(self.s, self.e) if len(self.s) else np.zeros(0, np.uint64)
-        starts = np.union1d(self.offsets[:-1], np.flatnonzero(data == 10) + 1)
-        self.line = np.searchsorted(starts, self.s, side="right") - 1
 
     def known(self, sorted_hashes: np.ndarray) -> np.ndarray:
         """Places of the words whose hash is in a small sorted array."""
@@ -85,7 +88,7 @@ class Words:
         return self.raw[self.s[i]:self.e[i]].tobytes().decode()
 
 
-def _block_counts(universe: list[str]):
+def _text_counts(universe: list[str]):
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +99,7 @@ def _block_counts(universe: list[str]):
             w = Words(b.column(0), inside, lower)
             at = w.known(hashes)
             which = np.searchsorted(hashes, w.hash[at])
-            pairs = np.unique(w.line[at] * len(hashes) + which)
+            pairs = np.unique(w.text[at].astype(np.int64) * len(hashes) + which)
             total += np.bincount(pairs % len(hashes), minlength=len(hashes))
         names = np.array(universe, object)[np.argsort(hashes_of(universe), kind="stable")]
         yield table(schema, names.tolist(), total)
@@ -104,11 +107,11 @@ def _block_counts(universe: list[str]):
 
 
 def word_order(docs: DataFrame, templates: list[tuple[str, str]]) -> list[str]:
-    """The templates' words, rarest in the corpus first (each counted once a block)."""
+    """The templates' words, rarest in the corpus first (each counted once a text)."""
     universe = sorted({w for t, _ in templates for w in words_of(t)})
     if not universe:
         return []
-    n = docs.select(F.col("text").cast("string").alias("t")).mapInArrow(_block_counts(universe), "word string, n long") \
+    n = docs.select(F.col("text").cast("string").alias("t")).mapInArrow(_text_counts(universe), "word string, n long") \
         .groupBy("word").agg(F.sum("n").alias("n")).collect()      # a row for each template word
     count = {r["word"]: r["n"] for r in n}
     return sorted(universe, key=lambda w: (count.get(w, 0), w))
@@ -119,44 +122,106 @@ RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base",
                     ("score", pa.float64())])
 
 
+def needed(distinct: int, threshold: float) -> int:
+    """Distinct words that a block must have of a template with ``distinct`` ones."""
+    return max(1, ceil(threshold * distinct - 1e-9))
+
+
+def block_size(words: int, threshold: float) -> int:
+    """Words of a block for a template of ``words`` words."""
+    return ceil(words / threshold - 1e-9)
+
+
+class Fit(NamedTuple):
+    """A template in a block: its share and number of words, first and last word of the place."""
+
+    share: float
+    words: int
+    start: int
+    end: int
+    template: int
+
+
+def unbeaten(fits: list[Fit], rank, whole: bool) -> list[Fit]:
+    """The fits that share no word (``whole``: not all words) with one of greater ``rank``, in the order of their starts."""
+    fits = sorted(fits, key=lambda f: f.start)
+    starts = [f.start for f in fits]
+    ranks = [rank(f) for f in fits]
+    reach = max((f.end - f.start for f in fits), default=0)
+    return [f for i, f in enumerate(fits)
+            if not any(ranks[j] > ranks[i] and fits[j].end >= (f.end if whole else f.start)
+                       for j in range(bisect_left(starts, f.start - reach), bisect_right(starts, f.start if whole else f.end)))]
+
+
 class Matcher:
     """Templates as sets in one word order, and the filters."""
 
     def __init__(self, order: list[str], templates: list[tuple[str, str]], threshold: float):
         rank = {w: i for i, w in enumerate(order)}
         self.rank = rank
-        self.sets, self.labels, self.need = [], [], []
+        self.sets, self.labels, self.need, self.size = [], [], [], []
         self.by_prefix: dict[int, list[int]] = {}
         for text, label in templates:
-            s = sorted({rank[w] for w in words_of(text)})
+            words = words_of(text)
+            s = sorted({rank[w] for w in words})
             if not s:
                 continue
-            c = max(1, ceil(threshold * len(s) - 1e-9))
+            c = needed(len(s), threshold)
             for r in s[:len(s) - c + 1]:
                 self.by_prefix.setdefault(r, []).append(len(self.sets))
             self.sets.append(frozenset(s))
             self.labels.append(label)
             self.need.append(c)
+            self.size.append(block_size(len(words), threshold))
 
-    def fits(self, block: list[int]) -> dict[int, float]:
-        """Template -> share of its words, for those that reach their need. ``block``: ranks, sorted."""
-        own, found, seen = set(block), {}, set()
-        for q, r in enumerate(block):
+    def fits(self, at: list[int], ranks: list[int]) -> list[Fit]:
+        """All blocks of a text that a template fits, each as its shortest part from the same start
+        on with all the template's words it holds. ``at``, ``ranks``: the text's known words, in order."""
+        near: dict[int, list[int]] = {}
+        for p, r in zip(at, ranks):
             for t in self.by_prefix.get(r, ()):
-                if t in seen:
-                    continue
-                seen.add(t)
-                if len(block) - q < self.need[t]:
-                    continue                           # too few words from the first shared one on
-                both = len(own & self.sets[t])
-                if both >= self.need[t]:
-                    found[t] = both / len(self.sets[t])
-        return found
-
-    def best(self, found: dict[int, float]) -> tuple[set[str], float]:
-        """The labels of the templates that fit a block best: largest share, then most words."""
-        top = max((f, len(self.sets[t])) for t, f in found.items())
-        return {self.labels[t] for t, f in found.items() if (f, len(self.sets[t])) == top}, top[0]
+                near.setdefault(t, []).append(p)
+        out: list[Fit] = []
+        for t, places in near.items():
+            reach, i = self.size[t] - 1, 0
+            while i < len(places):                     # places whose surroundings meet are searched at once
+                first = last = places[i]
+                while i < len(places) and places[i] - last <= 2 * reach:
+                    last = places[i]
+                    i += 1
+                lo, hi = bisect_left(at, first - reach), bisect_right(at, last + reach)
+                own = [k for k in range(lo, hi) if ranks[k] in self.sets[t]]
+                if len(own) >= self.need[t]:
+                    out += self._slide([at[k] for k in own], [ranks[k] for k in own], t)
+        return out
+
+    def _slide(self, at: list[int], ranks: list[int], t: int) -> Iterator[Fit]:
+        inside: Counter = Counter()
+        b = 0
+        for a, start in enumerate(at):
+            while b < len(at) and at[b] < start + self.size[t]:
+                inside[ranks[b]] += 1
+                b += 1
+            if b - a >= self.need[t] and len(inside) >= self.need[t]:
+                seen: set[int] = set()
+                for k in range(a, b):
+                    seen.add(ranks[k])
+                    if len(seen) == len(inside):
+                        yield Fit(len(seen) / len(self.sets[t]), len(self.sets[t]), start, at[k], t)
+                        break
+            inside[ranks[a]] -= 1
+            if not inside[ranks[a]]:
+                del inside[ranks[a]]
+
+    def best(self, fits: list[Fit]) -> list[Fit]:
+        """The fits that count: of one template's that share a word the largest share, then the
+        shortest; of those of all templates, a fit inside another one's words needs as large a share
+        and, at an equal one, as many words."""
+        own: dict[int, list[Fit]] = {}
+        for f in fits:
+            own.setdefault(f.template, []).append(f)
+        tight = [f for group in own.values() for f in unbeaten(group, lambda f: (f.share, f.start - f.end), False)]
+        return unbeaten(tight, lambda f: (f.share, f.words), True)
 
 
 def _scan(order: list[str], phrases: list[tuple[str, str]], templates: list[tuple[str, str]], threshold: float):
@@ -186,17 +251,16 @@ def _scan(order: list[str], phrases: list[tuple[str, str]], templates: list[tupl
                         last[t] = at if last[t] is None else max(last[t], at)
                         base[t].add(label)
                         score[t] = 1.0
-            lines = np.unique(w.line[w.known(seeds)])
+            likely = np.unique(w.text[w.known(seeds)])
             at = w.known(universe)
-            at = at[np.isin(w.line[at], lines)]
-            cut, size = runs_of(w.line[at])
+            at = at[np.isin(w.text[at], likely)]
+            cut, size = runs_of(w.text[at])
             for c, k in zip(cut.tolist(), size.tolist()):
-                block = sorted({r for i in at[c:c + k].tolist() if (r := match.rank.get(w.word(i))) is not None})
-                if found := match.fits(block):
-                    t = int(w.text[at[c]])
-                    labels, share = match.best(found)
-                    more[t] |= labels
-                    score[t] = max(score[t], share)
+                known = [(i, r) for i in at[c:c + k].tolist() if (r := match.rank.get(w.word(i))) is not None]
+                t = int(w.text[at[c]])
+                for f in match.best(match.fits([i for i, _ in known], [r for _, r in known])):
+                    more[t].add(match.labels[f.template])
+                    score[t] = max(score[t], f.share)
             yield table(RESULT, b.column(0), np.bincount(w.text, minlength=n), count, first, last,
                         [",".join(sorted(x)) for x in base], [",".join(sorted(x | y)) for x, y in zip(base, more)], score)
     return run
@@ -206,8 +270,9 @@ def license_scan(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES,
                  templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs(doc_id, text, ...)``: doc_id, n_words, n_base (places of
     phrases), first_word, last_word (smallest and largest start, words from 0),
-    base_labels, labels (with those of the templates that fit a line best), score (1 with a
-    phrase, else the largest share of a template that fits, else 0).
+    base_labels, labels (with those of the templates that fit; where one's place lies in
+    another's, of the one that fits better), score (1 with a phrase, else the largest share of a
+    template that counts, else 0).
 
     Null text: no words. Repeated rows each give a row; other columns are ignored; no
     rows: empty. Phrases are at least one word each."""
@@ -220,13 +285,14 @@ def license_scan(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES,
 
 
 def oracle() -> str:
-    values = ",\n    ".join(f"({i}, '{label}', [{', '.join(repr(w) for w in sorted(set(words_of(t))))}])"
-                            for i, (t, label) in enumerate(TEMPLATES))
+    values = ",\n    ".join(
+        f"({i}, '{label}', {needed(len(set(words_of(t))), THRESHOLD)}, {block_size(len(words_of(t)), THRESHOLD)}, "
+        f"[{', '.join(repr(w) for w in sorted(set(words_of(t))))}])" for i, (t, label) in enumerate(TEMPLATES))
     phrases = ",\n    ".join(f"([{', '.join(repr(w) for w in p.split())}], '{label}')" for p, label in PHRASES)
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     return f"""
-WITH templates(t, label, words) AS (VALUES
+WITH templates(t, label, need, size, words) AS (VALUES
     {values}),
 phrases(p, label) AS (VALUES
     {phrases}),
@@ -237,15 +303,28 @@ places AS (
   WHERE ws[i:i + len(p) - 1] = p),
 base AS (SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS found
          FROM places GROUP BY r),
-blocks AS (
-  SELECT r, b, list_distinct(regexp_extract_all(line, {word})) AS ws
-  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS b FROM d)),
+occ AS (
+  SELECT r, t, p, word FROM (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w)
+  JOIN (SELECT t, unnest(words) AS word FROM templates) USING (word)),
+likely AS (SELECT r, t, any_value(need) AS need, any_value(size) AS size, any_value(label) AS label, any_value(len(words)) AS n
+           FROM occ JOIN templates USING (t) GROUP BY r, t HAVING count(DISTINCT word) >= any_value(need)),
+slid AS (
+  SELECT r, t, p AS s, need, size, label, n, count(DISTINCT word) OVER (
+    PARTITION BY r, t ORDER BY p RANGE BETWEEN CURRENT ROW AND size - 1 FOLLOWING) AS k FROM occ JOIN likely USING (r, t)),
 fits AS (
-  SELECT r, b, label, len(words) AS n, len(list_intersect(ws, words)) / len(words)::DOUBLE AS share FROM blocks, templates
-  WHERE len(list_intersect(ws, words)) >= ceil({THRESHOLD} * len(words) - 1e-9)),
+  SELECT r, t, s, label, n, k / n::DOUBLE AS share, max(p) AS e FROM (
+    SELECT f.r, f.t, f.s, f.label, f.n, f.k, o.word, min(o.p) AS p
+    FROM slid f JOIN occ o ON o.r = f.r AND o.t = f.t AND o.p BETWEEN f.s AND f.s + f.size - 1
+    WHERE f.k >= f.need GROUP BY f.r, f.t, f.s, f.label, f.n, f.k, o.word)
+  GROUP BY r, t, s, label, n, k),
+tight AS (
+  SELECT * FROM fits a WHERE NOT EXISTS (
+    SELECT 1 FROM fits b WHERE b.r = a.r AND b.t = a.t AND b.s <= a.e AND b.e >= a.s
+      AND (b.share > a.share OR b.share = a.share AND b.e - b.s < a.e - a.s))),
 best AS (
-  SELECT r, list(DISTINCT label) AS found, max(share) AS share FROM (
-    SELECT *, rank() OVER (PARTITION BY r, b ORDER BY share DESC, n DESC) AS k FROM fits) WHERE k = 1 GROUP BY r)
+  SELECT r, list(DISTINCT label) AS found, max(share) AS share FROM tight a WHERE NOT EXISTS (
+    SELECT 1 FROM tight b WHERE b.r = a.r AND b.s <= a.s AND b.e >= a.e
+      AND (b.share > a.share OR b.share = a.share AND b.n > a.n)) GROUP BY r)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
   coalesce(array_to_string(list_sort(base.found), ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(base.found, best.found))), ','), '') AS labels,
