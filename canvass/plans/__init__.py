@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ["records", "streams", "reshaping", "aggregates", "cleaning", "interviews", "datasets", "incremental"]
+_MODULES = ["records", "streams", "reshaping", "aggregates", "cleaning", "interviews", "datasets", "incremental", "periods"]
 
 
 def all_queries():
