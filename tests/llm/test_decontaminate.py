@@ -87,3 +87,51 @@ def test_edge_cases_and_no_rows(spark):
     assert decontaminate.contamination(no_docs(spark), bench).count() == 0
     assert decontaminate.contamination(docs, bench.where("false")).count() == 0
     assert decontaminate.remove_contaminated(docs, bench.where("false")).count() == docs.count()
+
+
+def brute_pairs(docs, items):
+    """(doc, item) pairs at the threshold, straight from the words."""
+    want = set()
+    for d, text in docs.items():
+        w, lines = words(text), [words(x) for x in (text or "").split("\n")]
+        grams = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+        for i, t in items.items():
+            item = words(t)
+            if 0 < len(item) < 5:
+                hit = item in lines
+            else:
+                hit = sum(tuple(item[j:j + 5]) in grams for j in range(len(item) - 4)) * 5 >= len(item) * 0.6 > 0 \
+                    and brute_tiles(w, item) >= 0.6 * len(item)
+            if hit:
+                want.add((d, i))
+    return want
+
+
+def test_passage_common_to_items_and_documents(spark):
+    """Items that share a passage with most documents are joined on their own, rarer seeds."""
+    rng = random.Random(11)
+    some = lambda n: " ".join(rng.choice("abcdefgh") + str(rng.randrange(99)) for _ in range(n))
+    common = some(12)
+    items = {i: " ".join([some(rng.randrange(3, 30)), common, some(rng.randrange(3, 30))]) for i in range(25)} \
+        | {25: common, 26: common + " " + some(8), 27: some(25)}
+    docs = {i: " ".join([some(10), common, some(10)]) for i in range(60)}
+    for i in range(28):
+        w = items[i].split()
+        for cut in (0.4, 0.55, 0.65, 1.0):
+            docs[len(docs)] = some(6) + " " + " ".join(w[:round(cut * len(w))]) + " " + some(6)
+    frame = spark.createDataFrame([(k, v, "en", "a", 1) for k, v in docs.items()], documents(spark, "/root/testdata/sf0.001").schema)
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contamination(frame, bench).collect()}
+    want = brute_pairs(docs, items)
+    assert got == want and len({i for _, i in want}) == 28
+
+
+def test_items_shorter_than_a_tile(spark):
+    items = {1: "Blue whale", 2: "yes", 3: "the answer is four", 4: "...", 5: "five words make a tile"}
+    docs = {1: "What is it?\nblue  WHALE!\nmore", 2: "the blue whale swims", 3: "yes", 4: "yes yes", 5: None, 6: "",
+            7: "- the answer is four\r\n- yes", 8: "the answer\nis four", 9: "blue\nwhale", 10: "so five words make a tile here"}
+    frame = spark.createDataFrame([(k, v, "en", "a", 1) for k, v in docs.items()], documents(spark, "/root/testdata/sf0.001").schema)
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontaminate.contamination(frame, bench).collect()}
+    assert set(got) == brute_pairs(docs, items) == {(1, 1), (3, 2), (7, 3), (7, 2), (10, 5)}
+    assert set(got.values()) == {1.0}
