@@ -33,7 +33,9 @@ SEED = 20240501
 CHUNK = 1 << 16           # shingles at a time: they stay in the processor's cache
 FLUSH = 1 << 20           # band entries that a task packs at a time
 BLOCK = 4096              # lines of a bucket that one task compares with each other
-BLOCK_CHARS = 1 << 20     # and their characters, in a bucket of more lines
+BLOCK_CHARS = 1 << 20     # and their characters, in a bucket that is cut into blocks
+LONG = 1 << 10            # characters of a line that counts towards a heavy bucket
+HEAVY_CHARS = 1 << 23     # characters of such lines from which a bucket is cut, however few its lines
 PARTS = 16                # blob groups for each shuffle partition
 
 
@@ -343,7 +345,7 @@ def _verify_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _candidates(sieve):
     """(t) -> number, key and form of the different lines in the sieve, for a run of texts."""
-    schema = pa.schema([("number", pa.int64()), ("key", pa.binary()), ("line", pa.string())])
+    schema = pa.schema([("number", pa.int64()), ("key", pa.binary()), ("line", pa.string()), ("chars", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "t"):
@@ -351,7 +353,8 @@ def _candidates(sieve):
             keys = [line_key(x) for x in lines]
             number = numbers_of(keys)
             hit = np.flatnonzero(in_sieve(sieve.value, number))
-            yield table(schema, number[hit].view(np.int64), [keys[i] for i in hit], [lines[i] for i in hit])
+            yield table(schema, number[hit].view(np.int64), [keys[i] for i in hit], [lines[i] for i in hit],
+                        [len(lines[i]) for i in hit])
     return run
 
 
@@ -431,12 +434,19 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
                            .mapInArrow(_buckets, "bucket long, number long, n long").distinct())
     near = buckets.where("bucket is not null")
     once = shared_table(src.select("t")
-                        .mapInArrow(_candidates(share(sieve_of(near, "number"))), "number long, key binary, line string")
+                        .mapInArrow(_candidates(share(sieve_of(near, "number"))), "number long, key binary, line string, chars int")
                         .join(near.select("number").distinct(), "number", "left_semi").dropDuplicates(["key"]))
-    links = shared_table(near.where(F.col("n") <= BLOCK).join(once, "number").select("bucket", "key", "line")
+    # shorter lines of up to BLOCK add BLOCK * LONG characters at most
+    heavy = shared_table(near.where(F.col("n") <= BLOCK).join(once.where(F.col("chars") > LONG).select("number", "chars"), "number")
+                         .groupBy("bucket").agg(F.sum("chars").alias("chars")).where(F.col("chars") > HEAVY_CHARS).select("bucket"))
+    large = near.where(F.col("n") > BLOCK)
+    small = near.where(F.col("n") <= BLOCK)
+    if heavy.head(1):
+        large = large.union(small.join(heavy, "bucket", "left_semi"))
+        small = small.join(heavy, "bucket", "left_anti")
+    links = shared_table(small.join(once, "number").select("bucket", "key", "line")
                          .repartition("bucket").sortWithinPartitions("bucket", "key")
                          .mapInArrow(_verify, "a binary, b binary").distinct())
-    large = near.where(F.col("n") > BLOCK)
     if large.head(1):
         links = links.union(_large_links(large.join(once, "number").select("bucket", "key", "line")))
     roots = components(links).withColumnRenamed("node", "key")

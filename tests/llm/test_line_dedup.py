@@ -133,3 +133,21 @@ def test_no_task_holds_a_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "BLOCK", 8)
     monkeypatch.setattr(line_dedup, "_large_links", lambda lines: seen.append(1) or large(lines))
     assert sorted(map(str, line_dedup.line_dedup(docs).collect())) == want and seen
+
+
+def test_heavy_buckets_of_long_lines(spark, monkeypatch):
+    """A bucket of few but long lines is cut into blocks too, with the same result."""
+    rng = random.Random(8)
+    long = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(400))
+    rows = [(i, f"{long[:40 * i]} {i * 7919} {long[40 * i:]}\nown line {i * 104729} of one", "en", "a", 1) for i in range(40)]
+    rows += [(100 + i, "a short line that comes again and again\n" + "z" * i, "en", "a", 1) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = sorted(map(str, line_dedup.line_dedup(docs).collect()))
+    seen = []
+    large = line_dedup._large_links
+    monkeypatch.setattr(line_dedup, "HEAVY_CHARS", 20_000)
+    monkeypatch.setattr(line_dedup, "BLOCK_CHARS", 10_000)
+    monkeypatch.setattr(line_dedup, "_large_links", lambda lines: seen.append(lines.count()) or large(lines))
+    got = line_dedup.line_dedup(docs)
+    assert sorted(map(str, got.collect())) == want and seen
+    assert sum(r.n_removed for r in got.collect()) >= 39
