@@ -6,9 +6,22 @@ from canvass.llm import url_filter
 
 from .helpers import CLASHES
 
-# names that are not in the labelled table
+# names of the given pages that should go; no name of the labelled table is one of them
 SPAM = ["casino-win", "free-bets", "ads-track", "spam-farm", "cheap-pills", "adult-x"]
 
+# written down before the first training run, but seen while the penalty, the cost and the word pairs were
+# chosen, so no clean held-out measure; none of their parts is a word of the labelled table
+UNSEEN_BAD = """
+casinos777 pokerstar luckyslot megajackpots sportsbets gamblers-den e-pharmacies buyviagra24 painpills pharmacie-discount
+pornhost sexcams adults-only escortes nudes malwares trojans-inside hackers-den phish-kit accountverification
+securelogin-portal cracked keygens loans4u paydays prizes-today winners giveaways replicas spammers
+""".split()
+UNSEEN_GOOD = """
+northgate riverside kindergarten astronomy beekeeping cathedral volunteers philharmonic lighthouse watercolour
+genealogy photography cartography economics philosophy pottery knitting birdwatching veterinary orchestra
+marathon newsletter newspapers planetarium botanical geology timetable weatherman neighbourhood allotments
+""".split()
+
 
 def brute(url):
     host = path = ""
@@ -20,15 +33,30 @@ def brute(url):
     return (host, path, *(max(fits)[1:] if fits else (None, None)))
 
 
-def test_held_out_names(spark):
+def verdicts(spark, names):
+    urls = [f"https://{n}.{'com net org info'.split()[i % 4]}/{'' if i % 2 else 'en/%d.html' % i}" for i, n in enumerate(names)]
+    rows = url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=[]).collect()
+    return [r.verdict for r in sorted(rows, key=lambda r: r.page_id)]
+
+
+def test_given_names(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = url_filter.judge_urls(pages, rules=[]).collect()
     spam = [r.verdict for r in got if any(s in r.host for s in SPAM)]
     clean = [r.verdict for r in got if not any(s in r.host for s in SPAM)]
-    assert not set(SPAM) & set(url_filter.BLOCKED.split())
+    table = {r.url.split("/")[2] for r in url_filter.labelled_urls(spark).collect()}
+    assert not [t for t in table for s in SPAM if s in t.split(".")]
     assert spam and spam.count("block") >= 0.9 * len(spam) and clean.count("allow") >= 0.99 * len(clean)
 
 
+def test_unseen_parts(spark):
+    parts = {p for n in url_filter.BLOCKED + url_filter.ALLOWED for p in (n, *n.split("-"))}
+    assert not {p for n in UNSEEN_BAD + UNSEEN_GOOD for p in n.split("-")} & parts
+    got = verdicts(spark, UNSEEN_BAD + UNSEEN_GOOD)
+    bad, good = got[:len(UNSEEN_BAD)], got[len(UNSEEN_BAD):]
+    assert bad.count("block") >= 0.8 * len(bad) and good.count("allow") >= 0.8 * len(good)
+
+
 def test_parts_and_rules(spark):
     urls = [None, "", "abc", "http://EXAMPLE.com", "http://example.com/en/", "http://a.WWW.example.com/en/x?y#z", "x://y://z/a",
             "http://h?q=1/2", "http://" + "a" * 5000 + ".net/fr/\nx", "http://\U0001F600é.net/es/", "com://com/", "://net/es/",
