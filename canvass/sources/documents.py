@@ -1,81 +1,128 @@
 """Interview documents (SRC-4) and their flattening to answer streams (SRC-5).
 
-Documents live in a landing folder or a table column ``xml``. Flattening is
-a per-document helper run by ``mapInPandas`` (Arrow batches): pre-order walk
-of the element tree; an element yields ``(tag, 'text', text)`` when its own
-text is non-blank (not stripped), then one row per attribute; tail text is
-ignored. ``seq`` is the position in that walk, so it is dense and a block of
-``span`` positions holds at most ``span`` rows.
+Documents live in a landing folder or a table column ``xml``. Flattening is a column
+expression, so no document leaves the JVM: pre-order walk of the elements; an element
+yields ``(tag, 'text', text)`` when its own text (before its first child) is non-blank
+(not stripped), then one row per attribute; tail text is ignored. ``seq`` is the position
+in that walk, so it is dense and a block of ``span`` positions holds at most ``span`` rows.
+
+Spark's XML parser judges whether a document is well formed. Character references, the
+five named entities, CDATA, comments and processing instructions are read as XML has it.
+Names keep their prefix as written, and namespace declarations are no attributes.
+Documents that declare entities of their own count as not parsable.
 """
 
 from __future__ import annotations
 
-import xml.etree.ElementTree as ET
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ordered import block_span
 
-# The flattener runs in Python workers, which may not have this package on
-# their path (cluster executors, or a driver started from another folder):
-# ship this module's functions by value with the task instead of by name.
-try:
-    import sys as _sys
+NOT_XML = "not well-formed XML"
 
-    from pyspark import cloudpickle as _cloudpickle
+# Pieces of XML as regular expressions. Loops are possessive: none of them goes back or deep.
+CDATA = r"<!\[CDATA\[(?s:.*?)\]\]>"
+ASIDE = rf"({CDATA})|<!--(?s:.*?)-->|<\?(?s:.*?)\?>|<!DOCTYPE[^>\[]*+>"
+QUOTED = r"""(?:"[^"]*+"|'[^']*+')"""
+TAG = rf"""<[^\s/>!?<][^\s/>]*+[^<>"']*+(?:{QUOTED}[^<>"']*+)*+>"""
+ELEMENT = rf"{CDATA}|{TAG}[^<]*+(?:{CDATA}[^<]*+)*+"
+ATTRIBUTE = rf"""[^\s=<>/"']++\s*+=\s*+{QUOTED}"""
 
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older pyspark without the hook
-    pass
+# The named entities of XML
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&amp;": "&", "&quot;": '"', "&apos;": "'"}
 
-STREAM_SCHEMA = ("subject_id long, seq long, block long, element string, attribute string, "
-                 "value string, parse_error string")
 
+def _all(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-def flatten_document(xml_text: str) -> list[tuple[str, str, str]]:
-    """Document -> ordered (element, attribute, value) triples."""
-    root = ET.fromstring(xml_text)
-    out: list[tuple[str, str, str]] = []
-    for el in root.iter():
-        if el.text and el.text.strip():
-            out.append((el.tag, "text", el.text))
-        for k, v in el.attrib.items():
-            out.append((el.tag, k, v))
-    return out
 
+def _decoded(text: Column) -> Column:
+    """``text`` with its references replaced, each once."""
+    def one(piece: Column) -> Column:
+        named = F.lit(None).cast("string")
+        for k, v in ENTITIES.items():
+            named = F.when(piece == k, v).otherwise(named)
+        digits = F.when(F.startswith(piece, F.lit("&#x")), F.regexp_extract(piece, "&#x([0-9a-fA-F]+);", 1)) \
+            .otherwise(F.conv(F.regexp_extract(piece, "&#([0-9]+);", 1), 10, 16))
+        coded = F.decode(F.unhex(F.lpad(F.regexp_replace(digits, "^0+", ""), 8, "0")), "UTF-32")
+        return F.when(F.startswith(piece, F.lit("&")), F.coalesce(named, coded)).otherwise(piece)
+
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(_all(text, "&[^;]*+;|[^&]++"), one), "")).otherwise(text)
+
+
+def _text(raw: Column) -> Column:
+    """An element's text: CDATA as it stands, the rest decoded."""
+    inner = len("<![CDATA[")
+    part = lambda x: F.when(F.startswith(x, F.lit("<![")), F.substr(x, F.lit(inner + 1), F.length(x) - (inner + 3))) \
+        .otherwise(_decoded(x))
+    return F.when(F.contains(raw, F.lit("<![CDATA[")), F.array_join(F.transform(_all(raw, f"{CDATA}|[^<]++"), part), "")) \
+        .otherwise(_decoded(raw))
+
+
+def _triple(element: Column, attribute: Column, value: Column) -> Column:
+    return F.struct(element.alias("element"), attribute.alias("attribute"), value.alias("value"))
+
+
+def _rows(body: Column) -> Column:
+    """The triples of a document: its pieces are start tags with the text behind them (and
+    lone CDATA, which has none). Each step keeps what the next one uses more than once."""
+    pieces = F.filter(_all(body, ELEMENT), lambda p: ~F.startswith(p, F.lit("<!")))
+    heads = F.transform(pieces, lambda p: F.struct(p.alias("p"), F.substring_index(p, ">", 1).alias("head")))
+
+    def tag(x: Column) -> Column:
+        odd = F.lit(False)                             # more in the tag than a name
+        for c in ("=", "/", " ", "\n", "\t"):
+            odd = odd | F.contains(x["head"], F.lit(c))
+        return F.struct(x["p"].alias("p"), x["head"].alias("head"), F.when(odd, F.regexp_extract(x["p"], "^" + TAG, 0)).alias("tag"))
 
-def _flatten_batches(span: int, id_dtype: str, docs_per_chunk: int = 1000):
-    def frame(subj, seqs, els, attrs, vals, errs):
-        seq = pd.Series(seqs, dtype="int64")
-        return pd.DataFrame({"subject_id": pd.Series(subj, dtype=id_dtype), "seq": seq,
-                             "block": seq // span, "element": els, "attribute": attrs,
-                             "value": vals, "parse_error": errs})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            cols = [], [], [], [], [], []
-            subj, seqs, els, attrs, vals, errs = cols
-            for n, (sid, doc) in enumerate(zip(pdf["subject_id"], pdf["xml"]), start=1):
-                try:
-                    triples = flatten_document(doc) if doc is not None else []
-                except ET.ParseError as e:  # quarantined, not fatal (QUA-1)
-                    subj.append(sid); seqs.append(-1); els.append(None)
-                    attrs.append(None); vals.append(None); errs.append(str(e))
-                    continue
-                for i, (el, at, va) in enumerate(triples):
-                    subj.append(sid); seqs.append(i); els.append(el)
-                    attrs.append(at); vals.append(va); errs.append(None)
-                if n % docs_per_chunk == 0:   # bounded output batches
-                    yield frame(*cols)
-                    cols = [], [], [], [], [], []
-                    subj, seqs, els, attrs, vals, errs = cols
-            if subj:
-                yield frame(*cols)
-    return run
+    def parts(x: Column) -> Column:
+        bare, name = x["tag"].isNull(), F.regexp_extract(x["tag"], r"^<([^\s/>]+)", 1)
+        raw = F.when(bare, F.substr(x["p"], F.length(x["head"]) + 2)) \
+            .when(F.endswith(x["tag"], F.lit("/>")), "").otherwise(F.substr(x["p"], F.length(x["tag"]) + 1))
+        given = F.when(~bare, _all(F.regexp_replace(x["tag"], r"^<[^\s/>]+", ""), ATTRIBUTE))
+        return F.struct(F.when(bare, F.substr(x["head"], F.lit(2))).otherwise(name).alias("name"), raw.alias("raw"), given.alias("given"))
+
+    def read(x: Column) -> Column:
+        return F.struct(x["name"].alias("name"), _text(x["raw"]).alias("text"), x["given"].alias("given"))
+
+    def attribute(name: Column, a: Column) -> Column:
+        key = F.regexp_extract(a, r"^[^\s=]+", 0)
+        value = F.regexp_extract(a, r"(?s)^[^=]*=\s*.(.*).$", 1)
+        return _triple(name, key, _decoded(F.translate(value, "\t\n", "  ")))
+
+    def triples(x: Column) -> Column:
+        none = F.array().cast("array<struct<element:string,attribute:string,value:string>>")
+        own = F.when(F.regexp_like(x["text"], F.lit(r"(?U)\S")), F.array(_triple(x["name"], F.lit("text"), x["text"]))).otherwise(none)
+        declared = lambda a: F.regexp_like(a, F.lit(r"^xmlns[:\s=]"))
+        given = F.filter(x["given"], lambda a: ~declared(a))
+        return F.when(x["given"].isNull(), own).otherwise(F.concat(own, F.transform(given, lambda a: attribute(x["name"], a))))
+
+    steps = heads
+    for step in (tag, parts, read, triples):
+        steps = F.transform(steps, step)
+    return F.flatten(steps)
+
+
+def _parses(xml: Column) -> Column:
+    """Spark's parser reaches the end of the root element."""
+    found = F.from_xml(xml, "broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"})
+    return xml.isNotNull() & found["broken"].isNull()
+
+
+def _ends_with_root(body: Column) -> Column:
+    """Nothing follows the root element of a ``body`` whose root element is well formed: its
+    only end tag comes last, or what is left without the last end tag does not parse."""
+    name = F.regexp_extract(body, r"^<([^\s/>]+)", 1)
+    end = F.concat(F.lit("</"), name, F.lit(">"))
+    last = F.regexp_extract(body, r"</([^\s>]+)\s*+>$", 1)
+    first = F.regexp_extract(body, "^" + TAG, 0)
+    return F.when(F.endswith(first, F.lit("/>")), first == body) \
+        .when(F.call_function("locate", end, body) == F.length(body) - F.length(end) + 1, True) \
+        .otherwise((last == name) & ~_parses(F.regexp_replace(body, r"</[^<]*$", "")))
 
 
 def documents_to_stream(docs: DataFrame, *, keep_errors: bool = False) -> DataFrame:
@@ -83,16 +130,28 @@ def documents_to_stream(docs: DataFrame, *, keep_errors: bool = False) -> DataFr
 
     Documents that do not parse give one row with ``parse_error`` set (seq -1)
     when ``keep_errors``; otherwise they are dropped here and reported by
-    ``document_errors``."""
+    ``document_errors``. A null document has no answers and no error."""
     span = block_span(docs.sparkSession)
     # ids keep their kind: numbers from tables, text from landing folders
-    text = isinstance(docs.schema["subject_id"].dataType, T.StringType)
-    schema = STREAM_SCHEMA.replace("subject_id long", "subject_id string") if text else STREAM_SCHEMA
-    out = docs.select(F.col("subject_id").cast("string" if text else "long"), F.col("xml").cast("string")).mapInPandas(
-        _flatten_batches(span, "object" if text else "int64"), schema)
+    kind = "string" if isinstance(docs.schema["subject_id"].dataType, T.StringType) else "long"
+    read = docs.select(F.col("subject_id").cast(kind), F.col("xml").cast("string"))
+    lines = F.when(F.contains("xml", F.lit("\r")), F.regexp_replace("xml", r"\r\n?", "\n")).otherwise(F.col("xml"))
+    read = read.withColumn("lines", lines)
+    aside = F.contains("lines", F.lit("<!")) | F.contains("lines", F.lit("<?"))
+    body = F.when(aside, F.regexp_replace("lines", ASIDE, "$1")).otherwise(F.col("lines"))
+    read = read.select("subject_id", "xml", F.trim(body, F.lit(" \t\n")).alias("body"))
+    read = read.select("subject_id", "body", (_parses(F.col("xml")) & _ends_with_root(F.col("body"))).alias("good"))
+    # one array a document, and no filter before it, neither ours nor the one that an inner
+    # posexplode brings: it would be pushed down and parse the document again
+    rows = F.when(F.col("good"), _rows(F.col("body")))
     if keep_errors:
-        return out
-    return out.filter(F.col("parse_error").isNull()).drop("parse_error")
+        rows = rows.when(F.col("body").isNotNull(), F.array(_triple(*[F.lit(None).cast("string")] * 3)))
+    out = read.select("subject_id", "good", rows.alias("rows")).select("subject_id", "good", F.posexplode_outer("rows").alias("at", "r")).where("at is not null")
+    seq = F.when(F.col("good"), F.col("at")).otherwise(-1).cast("long") if keep_errors else F.col("at").cast("long")
+    out = out.withColumn("seq", seq).select(
+        "subject_id", "seq", F.floor(F.col("seq") / span).cast("long").alias("block"), "r.element", "r.attribute", "r.value",
+        *([F.when(~F.col("good"), NOT_XML).alias("parse_error")] if keep_errors else []))
+    return out
 
 
 def document_errors(docs: DataFrame) -> DataFrame:

@@ -11,10 +11,11 @@ from canvass.plans.interviews import order_interviews
 from canvass.plans.spec import run_spec
 from canvass.sinks.writers import (SKU_SALES_INFO, conform, ensure_table, export_csv, fan_out,
                                    load_partitions_idempotent, only_new_rows)
-from canvass.sources.documents import document_errors, documents_to_stream, flatten_document, read_landing
+from canvass.sources.documents import document_errors, documents_to_stream, read_landing
 from canvass.sources.ranges import day_range, explode_ids
 from canvass.streaming.ingest import run_incremental
 from conftest import SF_SMALL
+from walker import flatten_document
 
 
 def _scratch():
