@@ -15,6 +15,8 @@ runs as a *two-level* scan:
 
 All outputs requested in one call share one window spec, one summary and one
 join, so an operator costs one shuffle of the stream.
+
+A stream that marks its subjects as whole (``whole_block``) needs no second level.
 """
 
 from __future__ import annotations
@@ -27,6 +29,20 @@ from pyspark.sql import functions as F
 from ..schema import BLOCK, BLOCK_SPAN_CONF, DEFAULT_BLOCK_SPAN, SEQ, SUBJECT
 
 
+# Metadata of a stream's ``block`` column: the rows of a subject come from one row of the source
+# (a document) or fill one block, so they lie in one task whatever the scan does.
+WHOLE = "whole_subjects"
+
+
+def whole_block(block: Column) -> Column:
+    """``block`` of a stream whose subjects are whole in one task."""
+    return block.alias(BLOCK, metadata={WHOLE: True})
+
+
+def has_whole_subjects(df: DataFrame, block: str = BLOCK) -> bool:
+    return block in df.columns and bool(df.schema[block].metadata.get(WHOLE))
+
+
 def block_span(spark) -> int:
     return int(spark.conf.get(BLOCK_SPAN_CONF, str(DEFAULT_BLOCK_SPAN)))
 
@@ -58,6 +74,8 @@ class Scan:
 
 def ordered_scan(df: DataFrame, scan: Scan, *, subject: str = SUBJECT,
                  seq: str = SEQ, block: str = BLOCK) -> DataFrame:
+    if has_whole_subjects(df, block) and not scan.next_match:
+        return _whole_scan(df, scan, subject, seq)
     df = with_block(df, seq=seq, block=block)
     # rows without a subject belong to no interview; stating the filter here
     # (instead of letting the join infer it on one side only) keeps both join
@@ -117,6 +135,16 @@ def ordered_scan(df: DataFrame, scan: Scan, *, subject: str = SUBJECT,
     return joined.select(*[F.col(c) for c in base_cols], *finals)
 
 
+def _whole_scan(df: DataFrame, scan: Scan, subject: str, seq: str) -> DataFrame:
+    """The scan where subjects are whole: one window, no summary and no join. Nothing
+    moves if the stream is already hashed by subject."""
+    w = Window.partitionBy(subject).orderBy(seq)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.filter(F.col(subject).isNotNull()).select(
+        *[F.col(c) for c in df.columns], *[F.lead(c).over(w).alias(out) for out, c in scan.lead.items()],
+        *[F.sum(expr).over(run).alias(out) for out, expr in scan.running.items()])
+
+
 def with_next(df: DataFrame, cols: list[str], prefix: str = "next_", **kw) -> DataFrame:
     return ordered_scan(df, Scan(lead={prefix + c: c for c in cols}), **kw)
 

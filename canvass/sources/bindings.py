@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import ANSWER, QUESTION
-from ..operators.ordered import block_span
-from .tables import read_table
+from ..operators.ordered import block_span, whole_block
+from ..session import cut_lineage
+from .tables import read_table, task_count
 
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 MICROS_PER_DAY = 86_400_000_000
@@ -95,6 +96,7 @@ def order_header_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.lit("text").alias("attribute"), "value"))
 
 
+LINES_PER_TASK = 100_000
 PLACE_BITS = 40   # a line's block in its order goes by a hash of the row, in this many bits
 RANK_BITS = 31    # a line's place in its block
 
@@ -122,26 +124,38 @@ def lineitem_stream(spark: SparkSession, sf_dir: str, with_header: bool = False)
     file listing and holds for any file layout; lines whose hashes are equal still have
     places of their own.
 
-    An order is cut into as many blocks as its lines fill (one for nearly all
-    orders, by a count per order), so a block holds about ``span`` rows and the
-    block summary of a scan stays at one row per order plus rows / span. The
-    narrow line rows are hash-partitioned on ``(subject_id, block)`` BEFORE the
-    14-way explode: the explode runs in parallel whatever the file layout, and
-    the stream already has the distribution every ordered scan needs.
+    If every order fills one block (a count per order tells), the narrow line rows are
+    hash-partitioned on ``subject_id`` and nothing else moves, here or in the scans.
+    Otherwise an order is cut into as many blocks as its lines fill, so a block holds
+    about ``span`` rows, and the rows are hash-partitioned on ``(subject_id, block)``.
+    Both happen BEFORE the 14-way explode, with a bounded number of lines a task: the
+    stream already has the distribution every ordered scan needs, and its sorts fit in memory.
     The order header rows are a separate stream (``order_header_stream``);
     ``with_header=True`` unions them in for operators that need both.
     """
     span = block_span(spark)
     n = 2 * len(LINE_VARIABLES)
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", *LINE_VARIABLES)
     cells = ["l_linenumber", *LINE_VARIABLES]
-    li = numbered_rows(li.select(F.col("l_orderkey").alias("subject_id"), *cells))
-    li = li.withColumn("__place", F.shiftrightunsigned(F.xxhash64(*sorted(li.columns)), 64 - PLACE_BITS))
-    sizes = li.groupBy("subject_id").agg(F.ceil(F.count(F.lit(1)) * F.lit(n) / F.lit(span)).alias("__blocks"))
-    li = li.join(sizes, "subject_id")
-    li = li.withColumn("block", F.shiftright(F.col("__place") * F.col("__blocks"), PLACE_BITS))
-    li = li.drop("__blocks").repartition("subject_id", "block")
-    rank = F.row_number().over(Window.partitionBy("subject_id", "block").orderBy("__place", *cells, COPY)) - 1
+    table = read_table(spark, sf_dir, "lineitem", "l_orderkey", *cells)
+    tasks = task_count(table, LINES_PER_TASK)
+    li = table.select(F.col("l_orderkey").alias("subject_id"), *cells)
+    blocks = F.ceil(F.count(F.lit(1)) * F.lit(n) / F.lit(span)).alias("__blocks")
+    # at most n * lines / span orders, most often none
+    large = cut_lineage(li.groupBy("subject_id").agg(blocks).where("__blocks > 1"))
+    hashed = lambda d: F.shiftrightunsigned(F.xxhash64(*sorted(d.columns)), 64 - PLACE_BITS)
+    if large.isEmpty():
+        # every order fills one block, and equal rows change places unseen
+        li = li.withColumn("__place", hashed(li)).repartition(tasks, "subject_id").withColumn("block", F.lit(0).cast("long"))
+        order = ["__place", *cells]
+        block = whole_block(F.col("block"))
+    else:
+        li = numbered_rows(li)
+        li = li.withColumn("__place", hashed(li)).join(F.broadcast(large), "subject_id", "left")
+        li = li.withColumn("block", F.shiftright(F.col("__place") * F.coalesce("__blocks", F.lit(1)), PLACE_BITS))
+        li = li.drop("__blocks").repartition(tasks, "subject_id", "block")
+        order = ["__place", *cells, COPY]
+        block = F.col("block")
+    rank = F.row_number().over(Window.partitionBy("subject_id", "block").orderBy(*order)) - 1
     li = li.withColumn("__base", F.lit(HEADER_ROWS) + (F.shiftleft(F.col("block"), RANK_BITS) + rank) * F.lit(n)) \
         .drop("__place", COPY)
     base = F.col("__base")
@@ -157,10 +171,10 @@ def lineitem_stream(spark: SparkSession, sf_dir: str, with_header: bool = False)
     items = (li.select("subject_id", "block", F.inline(F.array(*rows)))
              .filter(F.col("seq").isNotNull())
              .select("subject_id", "seq", "block", "element", F.lit("text").alias("attribute"), "value"))
-    items = _stream(items)
+    items = _stream(items).withColumn("block", block)
     if not with_header:
         return items
-    return order_header_stream(spark, sf_dir).unionByName(items)
+    return order_header_stream(spark, sf_dir).unionByName(items.withColumn("block", F.col("block").alias("block", metadata={})))
 
 
 # Tags of raw web pages (HTML is not well-formed XML, so a regex tokeniser).

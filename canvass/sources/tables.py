@@ -24,6 +24,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
+def task_count(df: DataFrame, rows: int) -> int:
+    """Tasks for ``df`` at about ``rows`` rows each, no fewer than the session's shuffle partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // rows))
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Expose every driver table as a temp view (for ``spark.sql``)."""
     for t in TABLES:
