@@ -43,9 +43,10 @@ def empty_day_report(days: DataFrame, rows: DataFrame, day_col: str = "day",
 def position_check(stream: DataFrame, name: str) -> DataFrame:
     """Rows vs distinct ``(subject, seq)`` positions of a stream: every ordered
     operator assumes they are equal (a duplicate position makes "next row"
-    ambiguous). One partial-aggregated pass; a mismatch is a reject reason."""
-    from ..schema import SEQ, SUBJECT
+    ambiguous). One pass; a mismatch is a reject reason. Positions are counted within
+    their block (which goes by seq), as the stream is hashed already."""
+    from ..schema import BLOCK, SEQ, SUBJECT
 
-    per_pos = stream.groupBy(SUBJECT, SEQ).agg(F.count(F.lit(1)).alias("__n"))
+    per_pos = stream.groupBy(SUBJECT, *([BLOCK] if BLOCK in stream.columns else []), SEQ).agg(F.count(F.lit(1)).alias("__n"))
     return per_pos.agg(F.lit(name).alias("stream"), F.sum("__n").cast("long").alias("rows"),
                        F.count(F.lit(1)).alias("positions"))
