@@ -20,6 +20,7 @@ from ..sources.documents import documents_to_stream, grid, interview_document, m
 from ..sources.tables import read_table
 from .catalog import BY_ID
 from .interviews import _gps_text
+from .interviews import _spread
 from .registry import query
 from .spec import HEADER_RENAME, run_spec
 
@@ -78,7 +79,7 @@ def interviews(spark, sf_dir, spec):
     if end is None:
         parts += answers
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
-    return c.select(k.alias("subject_id"), interview_document(header, parts).alias("xml")).repartition(SUBJECT)
+    return _spread(c, k, interview_document(header, parts))
 
 
 # What the generated GPS text holds, by layout
