@@ -32,7 +32,7 @@ TOP = 2000
 COVERED_PCT = 80
 SHARD_BYTES = 3 << 20     # of text with a dictionary of its own
 FLUSH = 1 << 19           # packed phrases that a task holds
-RANGE_WORDS = 1 << 24     # words of the corpus for each range of quotients, at least
+RANGE_WORDS = 1 << 20     # words of the corpus for each range of quotients, at least
 PAIR_BITS = 27            # the bitmap of frequent pairs: 16 MB
 PAIR_SLICES = 64
 BREAK = -1
@@ -338,7 +338,7 @@ def grams_of(texts: DataFrame, lengths: list[int], bits: int, top: int, least: i
     """(gram, f): phrases of ``lengths`` words that occur ``least`` times or more; a gram is
     four bytes for each word's id."""
     return shared_table(texts.mapInArrow(_count(lengths, bits, top, pairs), FILTERS_DDL)
-                        .groupBy("n", "range").applyInArrow(_merge(bits, top, least), GRAMS_DDL))
+                        .groupBy("n", "range").applyInArrow(_merge(bits, top, least), GRAMS_DDL), large_rows=True)
 
 
 def part_of(gram: str, first: str, words: str) -> F.Column:
@@ -394,7 +394,7 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> Dat
     spark = docs.sparkSession
     src = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                       F.col("text").cast("string").alias("t"))
-    shards = shared_table(src.mapInArrow(_encode, SHARDS_DDL))
+    shards = shared_table(src.mapInArrow(_encode, SHARDS_DDL), large_rows=True)
     entries = shards.select("shard", F.posexplode(F.arrays_zip("words", "langs", "counts")).alias("at", "e")) \
         .select("shard", "at", F.col("e.words").alias("word"), F.col("e.langs").alias("lang"), F.col("e.counts").alias("c"))
     totals = shared_table(entries.groupBy("lang", "word").agg(F.sum("c").alias("f")))
@@ -403,7 +403,7 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> Dat
     known = entries.join(words.select("lang", "word", "id"), ["lang", "word"]) \
         .groupBy("shard").agg(F.collect_list(F.struct(F.col("at").cast("int").alias("at"), F.col("id"))).alias("known"))
     texts = shared_table(shards.select("shard", "seq").join(known, "shard").select("seq", "known")
-                         .mapInArrow(_number, "ids binary"))
+                         .mapInArrow(_number, "ids binary"), large_rows=True)
     ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")),
                  (totals.agg(F.sum("f")).first()[0] or 0) // RANGE_WORDS)
     first_bits = min(max(0, ranges.bit_length() - 1), bits - 1)        # a pair's half has ``bits``

@@ -116,3 +116,35 @@ def test_permutation_is_invertible_and_filters_lossless(n, bits):
             assert (a == b).all()
     two = p.count(np.concatenate([left, left]), np.concatenate([right, right]), np.concatenate([counts, counts]))
     assert (two[0] == left).all() and (two[1] == right).all() and (two[2] == 2 * counts).all()
+
+
+def test_large_rows_make_small_pages_and_batches(spark, monkeypatch):
+    """Rows of a megabyte: tables that hold them have small row groups and pages, and Python gets a few at a time."""
+    import pyarrow.parquet as pq
+
+    written, inner = [], C.shared_table
+
+    def watched(df, large_rows=False):
+        out = inner(df, large_rows)
+        written.append((df.columns, large_rows, out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(C, "shared_table", watched)
+    monkeypatch.setattr(C, "SHARD_BYTES", 1 << 20)
+    rng = random.Random(3)
+    rows = [("en", " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(90_000))) for _ in range(40)]
+    C.collocations(spark.createDataFrame(rows, "lang string, text string").coalesce(1))
+    columns, large, files = written[0]
+    groups = [pq.ParquetFile(f.removeprefix("file:")).metadata.row_group(0) for f in files]
+    assert "seq" in columns and large and len(groups) == 1 and groups[0].num_rows < 40
+    assert all(large for columns, large, _ in written if "ids" in columns or "gram" in columns)
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    big = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("t")).mapInArrow(sizes, "n long")
+    got = inner(big, large_rows=True).collect()
+    assert len(got) > 3 and sum(r.n for r in got) == 40
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > 8 << 20
