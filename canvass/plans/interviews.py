@@ -8,12 +8,13 @@ same dataset directly from the tables in SQL.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import option_lists
 from ..schema import SUBJECT
 from ..sources.bindings import numbered_rows, page_tag_stream
-from ..sources.documents import (documents_to_stream, grid, interview_document,
+from ..sources.documents import (documents_to_stream, grid, interview_document, interviews_once,
                                  materialize_stream, question, tag)
 from ..sources.tables import read_table, task_count
 from .catalog import BY_ID, SKUS_D02, SUPPLIERS
@@ -27,13 +28,22 @@ OUT_TS = "yyyy-MM-dd HH:mm:ss"
 DOCS_PER_TASK = 50_000
 
 
-def _spread(cells, subject, xml, table=None):
+def _spread(cells, subject, xml, table=None, once=False):
     """Documents ``xml`` of the rows of ``cells``, hashed by ``subject``. The cells move, not the
     documents, and each task gets a bounded number of them: what is read out of a
     document is many times its cells, so their size says nothing about a task.
-    ``table`` has about as many rows as ``cells`` and is cheaper to count."""
+    ``table`` has about as many rows as ``cells`` and is cheaper to count. Documents that are the
+    only one of their subject are marked so; ``once``: all are."""
     n = task_count(cells if table is None else table, DOCS_PER_TASK)
-    return cells.withColumn(SUBJECT, subject).repartition(n, SUBJECT).select(SUBJECT, xml.alias("xml"))
+    rows = cells.withColumn(SUBJECT, subject)
+    spread = rows.repartition(n, SUBJECT)
+    docs = lambda d: d.select(SUBJECT, xml.alias("xml"))
+    often = rows.groupBy(SUBJECT).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(SUBJECT).isNull())
+    if once or often.isEmpty():
+        return interviews_once(docs(spread))
+    alone = (F.count(F.lit(1)).over(Window.partitionBy(SUBJECT)) == 1) & F.col(SUBJECT).isNotNull()
+    counted = spread.withColumn("__alone", alone)
+    return interviews_once(docs(spread), docs(counted.where("__alone")), docs(counted.where("not __alone")))
 
 
 def _gps_text(k, nation):
@@ -128,7 +138,7 @@ def item_interviews(spark, sf_dir):
         question("I_1_country_of_origin", F.col("l_linestatus")),
         question("I_2_item_category", F.lit("DONE")),
     ]
-    return _spread(li, sid, interview_document(header, parts), table)
+    return _spread(li, sid, interview_document(header, parts), table, once=True)
 
 
 @query("d37_recruit_items_from_xml", """

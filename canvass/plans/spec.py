@@ -23,6 +23,7 @@ from ..operators.lookup import (header_by_name, header_pairs, lookup, sku_metric
                                 vector_or_labels)
 from ..operators.reshape import (expand_categories, explode_columns, explode_then_trim,
                                  explode_untrimmed, fill_from_first)
+from ..operators.whole import ROWS, Reading, header_rows_of, whole_of
 from ..schema import ANSWER, ELEMENT, GRID_ANSWER, GRID_LABEL, QUESTION, SECTION, SUBJECT, VALUE
 
 QA = (QUESTION, ANSWER)
@@ -103,23 +104,26 @@ class SurveySpec:
         return list(dict.fromkeys(cols))
 
 
+def _times(h: DataFrame, columns: list[str]) -> DataFrame:
+    """SC-1 / SC-2 on those of a header's ``columns`` that are times."""
+    cols = []
+    for c in h.columns:
+        if c in columns and c in TIMESTAMPS:
+            cols.append(parse_survey_ts(c).alias(c))
+        elif c in columns and c in OPTIONAL_TIMESTAMPS:
+            cols.append(parse_optional_ts(c).alias(c))
+        else:
+            cols.append(F.col(f"`{c}`"))
+    return h.select(*cols)
+
+
 def _header(spec: SurveySpec, answers: DataFrame) -> DataFrame:
     if spec.header_pairs:
         # several SubjectNum/Upload pairs give several header rows (parity)
         h = header_pairs(answers).drop("pair")
     else:
         h = header_by_name(answers, spec.header, HEADER_RENAME)
-    cols = [F.col(SUBJECT)]
-    for c in h.columns:
-        if c == SUBJECT:
-            continue
-        if c in TIMESTAMPS:
-            cols.append(parse_survey_ts(c).alias(c))
-        elif c in OPTIONAL_TIMESTAMPS:
-            cols.append(parse_optional_ts(c).alias(c))
-        else:
-            cols.append(F.col(c))
-    return h.select(*cols)
+    return _times(h, [c for c in h.columns if c != SUBJECT])
 
 
 def _attach_single(out: DataFrame, one_row: DataFrame, has_records: bool) -> DataFrame:
@@ -139,9 +143,8 @@ def _sliced(answers: DataFrame, b: Block) -> DataFrame:
     return marker_slice(s, is_q & (F.col(VALUE) == start), is_q & (F.col(VALUE) == end))
 
 
-def run_spec(spec: SurveySpec, answers: DataFrame, period: str | None = None) -> DataFrame:
-    """Interpret ``spec`` over an answer stream; one DataFrame in the spec's
-    declared columns (plus ``subject_id`` and, for record specs, ``rec``)."""
+def _read_stream(spec: SurveySpec, answers: DataFrame) -> DataFrame:
+    """The spec's answers out of a stream: an operator each, joined by subject."""
     out = _header(spec, answers)
     has_records = any(b.records for b in spec.blocks)
     record_frames = []
@@ -180,9 +183,35 @@ def run_spec(spec: SurveySpec, answers: DataFrame, period: str | None = None) ->
         sv = section_values(sl, is_var & (F.col(VALUE) == sc.name), sc.name)
         sv = _attach_single(out.select(SUBJECT).distinct(), sv, False).fillna("", subset=[sc.name])
         out = _attach_single(out, sv, has_records)
-    # declared columns, missing -> NULL
+    return out
+
+
+def _in_one_pass(spec: SurveySpec) -> bool:
+    """Whether all that the spec reads are headers, lookups and records of names of their own."""
+    names = [HEADER_RENAME.get(h, h) for h in spec.header] + [v for b in spec.blocks for v in b.variables]
+    records = {v for b in spec.blocks if b.records for v in b.variables}
+    return not (spec.vector or spec.section or any(b.slice_between for b in spec.blocks)) and len(names) == len(set(names)) \
+        and set(spec.fill_first) <= records - set(spec.rename) - set(spec.rename.values()) \
+        and not {SUBJECT, "rec"} & set(names) and not any(set("`.") & set(n) for n in spec.header)
+
+
+def _read_whole(spec: SurveySpec, documents: DataFrame) -> DataFrame:
+    """What ``_read_stream`` gives, filled from the first record, out of whole interviews in one pass."""
+    has_records = any(b.records for b in spec.blocks)
+    r = Reading(documents)
+    r.header(spec.header, HEADER_RENAME, spec.header_pairs)
+    header = list(r.values)
+    for b in spec.blocks:
+        if b.records:
+            r.assemble(b.variables, b.sentinel, b.elements, b.question, b.answer, b.strip_prefix)
+        else:
+            r.lookup(b.variables, b.mode, b.elements, b.question, b.answer, b.strip_prefix, has_records)
+    return _times(r.read(spec.zip_records, spec.fill_first), header)
+
+
+def _declared(spec: SurveySpec, out: DataFrame, keys: list[str]) -> DataFrame:
+    """The declared columns, missing -> NULL, renamed and cleaned."""
     present = set(out.columns)
-    keys = [SUBJECT] + (["rec"] if has_records else [])
     raw_cols = []
     for b in spec.blocks:
         raw_cols += list(b.variables)
@@ -199,8 +228,23 @@ def run_spec(spec: SurveySpec, answers: DataFrame, period: str | None = None) ->
         out = out.select("*", *gps_columns(col, variant)).drop(col)
     for c in spec.strip_paren:
         out = out.withColumn(c, strip_parenthetical(c))
-    if spec.fill_first and has_records:
-        out = fill_from_first(out, list(spec.fill_first), order="rec")
+    return out
+
+
+def run_spec(spec: SurveySpec, answers: DataFrame, period: str | None = None) -> DataFrame:
+    """Interpret ``spec`` over an answer stream; one DataFrame in the spec's
+    declared columns (plus ``subject_id`` and, for record specs, ``rec``). Interviews that
+    the stream carries whole are read in one pass."""
+    has_records = any(b.records for b in spec.blocks)
+    keys = [SUBJECT] + (["rec"] if has_records else [])
+    whole = whole_of(answers) if _in_one_pass(spec) else None
+    rest = answers if whole is None else whole.rest
+    out = None if whole is None else _declared(spec, _read_whole(spec, whole.documents), keys)
+    if rest is not None:
+        others = _declared(spec, _read_stream(spec, rest), keys)
+        if spec.fill_first and has_records:
+            others = fill_from_first(others, list(spec.fill_first), order="rec")
+        out = others if out is None else out.unionByName(others)
     if spec.drop_all_null:
         out = drop_all_null(out, [c for c in out.columns if c not in keys])
     if spec.not_done:
@@ -227,12 +271,23 @@ def spec_rejects(spec: SurveySpec, answers: DataFrame, subjects: DataFrame) -> D
     """QUA-1 for one dataset: ``(subject_id, dataset, reason)`` for each of
     ``subjects(subject_id)`` that the spec cannot use: no answers at all, none of
     its header rows, or a required header time that does not parse."""
-    h = header_by_name(answers, spec.header)
     times = [c for c in spec.header if c in TIMESTAMPS]
-    bad = [F.col(c).isNotNull() & ts_parse_failed(c) for c in times]
-    h = h.withColumn("__bad", reduce(or_, bad, F.lit(False))).select(SUBJECT, "__bad")
-    seen = answers.select(SUBJECT).distinct().withColumn("__any", F.lit(True))
-    s = subjects.select(SUBJECT).distinct().join(seen, SUBJECT, "left").join(h, SUBJECT, "left")
+    bad = lambda columns: reduce(or_, [c.isNotNull() & ts_parse_failed(c) for c in columns], F.lit(False))
+    whole = whole_of(answers)
+    rest = answers if whole is None else whole.rest
+    s = subjects.select(SUBJECT).distinct()
+    marks = None
+    if whole is not None:
+        r = whole.documents.select(SUBJECT, (F.size(ROWS) > 0).alias("__any"), header_rows_of(spec.header).alias("__h"))
+        value = lambda e: F.get(F.col(f"__h.{VALUE}"), F.array_position(F.col(f"__h.{ELEMENT}"), F.lit(e)).cast("int") - 1)
+        marks = r.select(SUBJECT, F.when(F.col("__any"), True).alias("__any"),
+                         F.when(F.size("__h") > 0, bad([value(c) for c in times])).alias("__bad"))
+    if rest is not None:
+        h = header_by_name(rest, spec.header)
+        h = h.withColumn("__bad", bad([F.col(c) for c in times])).select(SUBJECT, "__bad")
+        seen = rest.select(SUBJECT).distinct().withColumn("__any", F.lit(True)).join(h, SUBJECT, "left")
+        marks = seen if marks is None else marks.unionByName(seen)
+    s = s.join(marks, SUBJECT, "left")
     reason = (F.when(F.col("__any").isNull(), "no answers").when(F.col("__bad").isNull(), "missing header")
               .when(F.col("__bad"), "bad header time"))
     return s.select(SUBJECT, F.lit(spec.id).alias("dataset"), reason.alias("reason")).where("reason is not null")
